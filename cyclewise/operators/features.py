@@ -19,12 +19,7 @@ from cyclewise.constants import (
     UNIT,
     WINDOW_SIZE,
 )
-from cyclewise.operators.scalers import (
-    Scaler,
-    feature_columns,
-    fit_scaler,
-    transform_features,
-)
+from cyclewise.operators.scalers import Scaler, feature_columns, transform_features
 from cyclewise.operators.unit_order import chunk_window, close_chunks, number_rows, open_chunks
 
 _STATISTICS = {
@@ -184,17 +179,3 @@ def build_features(
     full = close_chunks(built).filter(F.col(place) >= size)
     return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], "window")
 
-
-__all__ = [
-    "add_rolling_features",
-    "build_features",
-    "drop_sensors",
-    "engineer",
-    "fit_scaler",
-    "impute_zero",
-    "rolling_columns",
-    "rolling_name",
-    "sliding_windows",
-    "window_array",
-    "window_summary",
-]
