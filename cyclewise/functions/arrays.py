@@ -11,7 +11,7 @@ from cyclewise.constants import PATCH_LENGTH, PATCH_STRIDE
 def mean_squared_error(x: Column, y: Column) -> Column:
     """Mean over all steps and features of the squared difference."""
     squares = F.zip_with(F.flatten(x), F.flatten(y), lambda a, b: (a - b) * (a - b))
-    return F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v) / F.size(squares)
+    return _sum(squares) / F.size(squares)
 
 
 def forecast_input(window: Column, length: int, horizon: int) -> Column:
@@ -61,12 +61,15 @@ def pick_features(window: Column, indices: list[int]) -> Column:
 
 def summary_vector(window: Column, features: int) -> Column:
     """Mean of each feature, then population deviation of each feature."""
-    means, deviations = [], []
-    for i in range(features):
-        series = channel(window, i)
-        n = F.size(series)
-        mean = F.aggregate(series, F.lit(0.0), lambda acc, v: acc + v) / n
-        means.append(mean)
-        centred = F.transform(series, lambda v, m=mean: (v - m) * (v - m))
-        deviations.append(F.sqrt(F.aggregate(centred, F.lit(0.0), lambda acc, v: acc + v) / n))
-    return F.array(*means, *deviations)
+    both = [_mean_and_deviation(channel(window, i)) for i in range(features)]
+    return F.array(*[m for m, _ in both], *[d for _, d in both])
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _mean_and_deviation(series: Column) -> tuple[Column, Column]:
+    mean = _sum(series) / F.size(series)
+    squares = F.transform(series, lambda v: (v - mean) * (v - mean))
+    return mean, F.sqrt(_sum(squares) / F.size(series))

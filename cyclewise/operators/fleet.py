@@ -36,69 +36,76 @@ def latest_reading(df: DataFrame, order: Column | None = None) -> DataFrame:
     return df.groupBy("engine_id").agg(F.max_by(whole, place).alias("r")).select("engine_id", "r.*")
 
 
+def _per_engine(df: DataFrame, *extra: Column) -> DataFrame:
+    """Per engine the largest cycle and, as ``r``, the newest reading of its life.
+
+    One combining aggregate, so it also runs on a stream. A failure cannot be taken
+    back: it follows from the largest cycle ever seen.
+    """
+    alive = F.col("cycle") <= F.col("max_cycle")
+    reading = F.struct("cycle", "max_cycle", "is_anomaly", "anomaly_score")
+    return df.groupBy("engine_id").agg(
+        F.max("cycle").alias("top"),
+        F.max_by(F.when(alive, reading), F.when(alive, F.col("cycle"))).alias("r"),
+        *extra,
+    )
+
+
+def _status() -> Column:
+    return F.when(F.col("top") >= F.col("r.max_cycle"), "failed").otherwise(
+        unit_status(F.col("r.cycle"), F.col("r.max_cycle"), F.col("r.is_anomaly"))
+    )
+
+
 def fleet_status(df: DataFrame) -> DataFrame:
-    """Status of each engine after its newest reading."""
-    newest = latest_reading(live_readings(df))
-    return newest.select(
+    """Status of each engine after its newest reading, on a batch or a stream."""
+    return _per_engine(df).select(
         "engine_id",
-        "cycle",
-        "max_cycle",
-        lifecycle_pct(F.col("cycle"), F.col("max_cycle")).alias("lifecycle_pct"),
-        "anomaly_score",
-        unit_status(F.col("cycle"), F.col("max_cycle"), F.col("is_anomaly")).alias("status"),
+        "r.cycle",
+        "r.max_cycle",
+        lifecycle_pct(F.col("r.cycle"), F.col("r.max_cycle")).alias("lifecycle_pct"),
+        "r.anomaly_score",
+        _status().alias("status"),
     )
 
 
 def fleet_summary(df: DataFrame, fleet: DataFrame) -> DataFrame:
     """One row per engine of the fleet list, engines without readings included."""
-    place = F.col("cycle")
-    summed = (
-        live_readings(df)
-        .groupBy("engine_id")
-        .agg(
-            F.count(F.lit(1)).alias("readings"),
-            F.count_if("is_anomaly").alias("anomalies"),
-            F.max("cycle").alias("cycle"),
-            F.max_by("max_cycle", place).alias("max_cycle"),
-            F.max_by("anomaly_score", place).alias("last_score"),
-            F.max_by("is_anomaly", place).alias("last_anomaly"),
-        )
+    alive = F.col("cycle") <= F.col("max_cycle")
+    summed = _per_engine(
+        df,
+        F.count_if(alive).alias("readings"),
+        F.count_if(alive & F.col("is_anomaly")).alias("anomalies"),
     )
     readings = F.coalesce("readings", F.lit(0))
     anomalies = F.coalesce("anomalies", F.lit(0))
-    status = unit_status(F.col("cycle"), F.col("max_cycle"), F.col("last_anomaly"))
     return fleet.join(summed, "engine_id", "left").select(
         "engine_id",
-        F.when(F.col("readings") > 0, status).otherwise("healthy").alias("status"),
-        F.coalesce("cycle", F.lit(0).cast("long")).alias("cycle"),
-        F.round(F.col("cycle") / F.col("max_cycle") * 100, 0).alias("lifecycle_pct"),
+        F.when(F.col("r").isNotNull(), _status()).otherwise("healthy").alias("status"),
+        F.coalesce("r.cycle", F.lit(0).cast("long")).alias("cycle"),
+        F.round(F.col("r.cycle") / F.col("r.max_cycle") * 100, 0).alias("lifecycle_pct"),
         readings.alias("readings"),
         anomalies.alias("anomalies"),
         (100 * anomalies / F.greatest(readings, F.lit(1))).alias("anomaly_rate"),
-        "last_score",
+        F.col("r.anomaly_score").alias("last_score"),
     )
 
 
 def kpis(df: DataFrame) -> DataFrame:
     """Live figures in one pass: readings are summed per engine, then over the fleet."""
-    newest = F.struct("cycle", "max_cycle", "is_anomaly")
-    engines = (
-        live_readings(df)
-        .groupBy("engine_id")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if("is_anomaly").alias("a"),
-            F.sum("processing_time_ms").alias("ms"),
-            F.max_by(newest, "cycle").alias("r"),
-        )
-    )
-    status = unit_status(F.col("r.cycle"), F.col("r.max_cycle"), F.col("r.is_anomaly"))
+    alive = F.col("cycle") <= F.col("max_cycle")
+    engines = _per_engine(
+        df,
+        F.count_if(alive).alias("n"),
+        F.count_if(alive & F.col("is_anomaly")).alias("a"),
+        F.sum(F.when(alive, F.col("processing_time_ms"))).alias("ms"),
+    )
     return engines.agg(
         F.sum("n").alias("total_readings"),
         F.sum("a").alias("anomalies"),
         (100 * F.sum("a") / F.sum("n")).alias("anomaly_rate"),
         (F.sum("ms") / F.sum("n")).alias("avg_latency_ms"),
-        F.count_if(status.isin("critical", "failed")).alias("critical_engines"),
+        F.count_if(_status().isin("critical", "failed")).alias("critical_engines"),
     )
 
 

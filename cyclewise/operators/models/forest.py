@@ -81,7 +81,13 @@ def _grow(sample: pd.DataFrame, seed: int) -> pd.DataFrame:
             nodes.append((tree, node, -1, 0.0, -1, -1, depth + average_path(len(members))))
             continue
         feature = int(rng.choice(varying))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        # rounding must not lift the cut to the top value, or the right side is empty
+        cut = float(
+            min(
+                rng.uniform(low[feature], high[feature]),
+                np.nextafter(high[feature], low[feature]),
+            )
+        )
         goes_left = x[members, feature] <= cut
         left, right = issued, issued + 1
         issued += 2

@@ -72,6 +72,26 @@ def null_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def range_flags(df: DataFrame) -> DataFrame:
+    """One row: ids or cycles below 1, and infinite values per sensor."""
+    return df.agg(
+        F.bool_or(F.col(UNIT) < 1).alias("unit_below_1"),
+        F.bool_or(F.col(CYCLE) < 1).alias("cycle_below_1"),
+        *[
+            F.bool_or(F.coalesce(is_infinite(F.col(c)), F.lit(False))).alias(f"inf_{c}")
+            for c in _sensors(df)
+        ],
+    )
+
+
+def label_flags(df: DataFrame) -> DataFrame:
+    """One row: readings with a negative remaining life, and labels outside 0 and 1."""
+    return df.agg(
+        F.count_if(F.col("rul") < 0).alias("negative_rul"),
+        F.count_if(~F.col("is_anomaly").isin(0, 1)).alias("not_binary"),
+    )
+
+
 def duplicate_keys(df: DataFrame) -> DataFrame:
     """Keys that occur more than once, with the number of copies."""
     return df.groupBy(UNIT, CYCLE).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
@@ -110,6 +130,15 @@ def seeded_sample(
     return df.orderBy(F.md5(text), *keys).limit(n)
 
 
+def check_sample(df: DataFrame, n: int = 100, seed: int = SEED) -> DataFrame:
+    """The row contract on a seeded sample; the report itself checks every row."""
+    sample = seeded_sample(df, n, [UNIT, CYCLE], seed)
+    return sample.agg(
+        F.count(F.lit(1)).alias("n_sampled"),
+        F.count_if(F.size(reading_reasons(df.columns)) > 0).alias("n_failed"),
+    )
+
+
 def _facts(df: DataFrame) -> DataFrame:
     """Everything the value checks and the statistics need, as one row."""
     sensors = _sensors(df)

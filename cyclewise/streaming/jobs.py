@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclewise.constants import CYCLE, UNIT
-from cyclewise.functions.decisions import unit_status
 from cyclewise.operators.drift import detect_drift
 from cyclewise.operators.scoring import Detector, anomalies_only, detect_requests
 from cyclewise.session import ROCKSDB, shared_dir
@@ -64,22 +63,6 @@ def counters_over_time(
     )
 
 
-def status_per_engine(df: DataFrame) -> DataFrame:
-    """Newest status of each engine; a failed engine stays failed.
-
-    ``failed`` follows from the largest cycle seen, so it cannot be taken back.
-    """
-    newest = F.struct("cycle", "max_cycle", "is_anomaly", "anomaly_score")
-    live = df.filter(F.col("cycle") <= F.col("max_cycle"))
-    last = live.groupBy("engine_id").agg(F.max_by(newest, "cycle").alias("r"))
-    return last.select(
-        "engine_id",
-        F.col("r.cycle").alias("cycle"),
-        F.col("r.anomaly_score").alias("anomaly_score"),
-        unit_status(F.col("r.cycle"), F.col("r.max_cycle"), F.col("r.is_anomaly")).alias("status"),
-    )
-
-
 def start(
     df: DataFrame,
     handler: Callable[[DataFrame, int], None],
