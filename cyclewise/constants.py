@@ -59,4 +59,4 @@ MAX_MODEL_VERSION = 128
 
 # Scale limits of this library.
 #: A unit with more rows than this is split over several tasks.
-HOT_ROWS = 100_000
+HOT_ROWS = 250_000

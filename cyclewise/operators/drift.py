@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from cyclewise.constants import DRIFT_P_VALUE, DRIFT_SHARE
@@ -75,33 +75,42 @@ def ks_test(
     A feature without values on one side has no row.
     """
     columns = columns or common_columns(reference, current)
-    return (
-        _ecdf(reference, current, columns, buckets)
-        .groupBy("feature")
-        .agg(
+    return _p_values(
+        _both_sided(
+            _ecdf(reference, current, columns, buckets).groupBy("feature"),
             F.max("gap").alias("statistic"),
-            F.max("ref_total").alias("n_reference"),
-            F.max("cur_total").alias("n_current"),
-        )
-        .filter((F.col("n_reference") > 0) & (F.col("n_current") > 0))
-        .withColumn(
-            "p_value",
-            kolmogorov_p_value(F.col("statistic"), F.col("n_reference"), F.col("n_current")),
         )
     )
 
 
-def wasserstein(
+def _both_sided(grouped: GroupedData, *measures: Column) -> DataFrame:
+    """Measures per feature, only for features with values on both sides."""
+    return grouped.agg(
+        *measures,
+        F.max("ref_total").alias("n_reference"),
+        F.max("cur_total").alias("n_current"),
+    ).filter((F.col("n_reference") > 0) & (F.col("n_current") > 0))
+
+
+def _p_values(tested: DataFrame) -> DataFrame:
+    p_value = kolmogorov_p_value(
+        F.col("statistic"), F.col("n_reference"), F.col("n_current")
+    )
+    return tested.withColumn("p_value", p_value)
+
+
+def compare(
     reference: DataFrame,
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """First Wasserstein distance per feature, plain and over the reference deviation.
+    """Test and distance per feature from one pass.
 
-    It is the area between the two distributions. The step behind a value reaches
-    to the next value, which for the last value of a bucket is the first one of
-    the next filled bucket.
+    The first Wasserstein distance is the area between the two distributions. The
+    step behind a value reaches to the next value, which for the last value of a
+    bucket is the first one of the next filled bucket. The normed distance is over
+    the deviation of the reference.
     """
     columns = columns or common_columns(reference, current)
     ecdf = _ecdf(reference, current, columns, buckets)
@@ -114,23 +123,13 @@ def wasserstein(
     upcoming = F.coalesce(
         F.lead("value").over(Window.partitionBy(*key).orderBy("value")), F.col("_next_bucket")
     )
-    areas = (
-        ecdf.join(F.broadcast(following), key)
-        .select(
-            "feature",
-            "ref",
-            "ref_total",
-            "cur_total",
-            "value",
-            (F.col("gap") * (upcoming - F.col("value"))).alias("area"),
-        )
-        .groupBy("feature")
-        .agg(
-            F.coalesce(F.sum("area"), F.lit(0.0)).alias("distance"),
-            F.max("ref_total").alias("n_reference"),
-            F.max("cur_total").alias("n_current"),
-        )
-        .filter((F.col("n_reference") > 0) & (F.col("n_current") > 0))
+    stepped = ecdf.join(F.broadcast(following), key).withColumn(
+        "area", F.col("gap") * (upcoming - F.col("value"))
+    )
+    measured = _both_sided(
+        stepped.groupBy("feature"),
+        F.max("gap").alias("statistic"),
+        F.coalesce(F.sum("area"), F.lit(0.0)).alias("distance"),
     )
     spreads = reference.agg(
         *[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]
@@ -141,12 +140,21 @@ def wasserstein(
             )
         )
     )
-    return areas.join(F.broadcast(spreads), "feature").select(
-        "feature",
-        "distance",
-        (F.col("distance") / F.greatest(F.col("spread"), F.lit(0.001))).alias("normed_distance"),
-        "n_reference",
-        "n_current",
+    normed = F.col("distance") / F.greatest(F.col("spread"), F.lit(0.001))
+    return _p_values(
+        measured.join(F.broadcast(spreads), "feature").withColumn("normed_distance", normed)
+    ).drop("spread")
+
+
+def wasserstein(
+    reference: DataFrame,
+    current: DataFrame,
+    columns: list[str] | None = None,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """First Wasserstein distance per feature, plain and over the reference deviation."""
+    return compare(reference, current, columns, buckets).select(
+        "feature", "distance", "normed_distance", "n_reference", "n_current"
     )
 
 
@@ -205,10 +213,7 @@ def preset_report(
 ) -> DataFrame:
     """Decision by the test that suits the size of the reference."""
     columns = columns or common_columns(reference, current)
-    both = ks_test(reference, current, columns, buckets).join(
-        wasserstein(reference, current, columns, buckets).select("feature", "normed_distance"),
-        "feature",
-    )
+    both = compare(reference, current, columns, buckets)
     small = F.col("n_reference") <= PRESET_SMALL_ROWS
     drifted = F.when(small, F.col("p_value") < DRIFT_P_VALUE).otherwise(
         F.col("normed_distance") >= PRESET_DISTANCE

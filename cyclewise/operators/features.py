@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from cyclewise.constants import (
     CYCLE,
-    HOT_ROWS,
     LOW_VARIANCE_SENSORS,
     ROLLING_SIZES,
     ROLLING_STATS,
@@ -20,7 +19,14 @@ from cyclewise.constants import (
     WINDOW_SIZE,
 )
 from cyclewise.operators.scalers import Scaler, feature_columns, transform_features
-from cyclewise.operators.unit_order import chunk_window, close_chunks, number_rows, open_chunks
+from cyclewise.operators.unit_order import (
+    SPLIT,
+    Layout,
+    chunk_window,
+    close_chunks,
+    number_rows,
+    open_chunks,
+)
 
 _STATISTICS = {
     "mean": F.avg,
@@ -57,10 +63,10 @@ def impute_zero(df: DataFrame) -> DataFrame:
     return df.fillna(0.0)
 
 
-def _with_position(df: DataFrame, position: str | None, hot_rows: int) -> tuple[DataFrame, str]:
+def _with_position(df: DataFrame, position: str | None, layout: Layout) -> tuple[DataFrame, str]:
     if position is not None:
         return df, position
-    return number_rows(df, [CYCLE], position="_position", hot_rows=hot_rows), "_position"
+    return number_rows(df, [CYCLE], position="_position", layout=layout), "_position"
 
 
 def add_rolling_features(
@@ -69,7 +75,7 @@ def add_rolling_features(
     sizes: list[int] = ROLLING_SIZES,
     stats: list[str] = ROLLING_STATS,
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Rolling statistics per unit over rows, from one row on, then zero imputation.
 
@@ -77,9 +83,9 @@ def add_rolling_features(
     otherwise rows are numbered by cycle first.
     """
     present = [c for c in sensors if c in df.columns]
-    frame, place = _with_position(df, position, hot_rows)
-    chunked = open_chunks(frame, max(sizes) - 1, place, hot_rows)
-    rolled = chunked.select("*", *rolling_columns(present, chunk_window(place), sizes, stats))
+    frame, place = _with_position(df, position, layout)
+    chunked = open_chunks(frame, max(sizes) - 1, place, layout)
+    rolled = chunked.select("*", *rolling_columns(present, chunk_window(place, layout), sizes, stats))
     names = [rolling_name(c, s, w) for w in sizes for s in stats for c in present]
     return impute_zero(close_chunks(rolled).select(*df.columns, *names))
 
@@ -94,7 +100,7 @@ def sliding_windows(
     columns: list[str] | None = None,
     size: int = WINDOW_SIZE,
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Full windows of ``size`` rows, stride 1; key and label are those of the last row.
 
@@ -103,9 +109,9 @@ def sliding_windows(
     """
     columns = columns or feature_columns(df)
     label = ["is_anomaly"] if "is_anomaly" in df.columns else []
-    frame, place = _with_position(df, position, hot_rows)
-    chunked = open_chunks(frame, size - 1, place, hot_rows)
-    built = chunked.withColumn("window", window_array(columns, chunk_window(place), size))
+    frame, place = _with_position(df, position, layout)
+    chunked = open_chunks(frame, size - 1, place, layout)
+    built = chunked.withColumn("window", window_array(columns, chunk_window(place, layout), size))
     full = close_chunks(built).filter(F.col(place) >= size)
     return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], "window")
 
@@ -115,7 +121,7 @@ def window_summary(
     columns: list[str] | None = None,
     size: int = WINDOW_SIZE,
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Mean and population deviation per feature of every full window.
 
@@ -123,9 +129,9 @@ def window_summary(
     """
     columns = columns or feature_columns(df)
     label = ["is_anomaly"] if "is_anomaly" in df.columns else []
-    frame, place = _with_position(df, position, hot_rows)
-    chunked = open_chunks(frame, size - 1, place, hot_rows)
-    over = chunk_window(place).rowsBetween(1 - size, 0)
+    frame, place = _with_position(df, position, layout)
+    chunked = open_chunks(frame, size - 1, place, layout)
+    over = chunk_window(place, layout).rowsBetween(1 - size, 0)
     summaries = [F.avg(c).over(over).alias(f"{c}_mean") for c in columns] + [
         F.stddev_pop(c).over(over).alias(f"{c}_std") for c in columns
     ]
@@ -143,11 +149,11 @@ def engineer(
     sizes: list[int] = ROLLING_SIZES,
     stats: list[str] = ROLLING_STATS,
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Drop the flat sensors and add the rolling columns, not yet scaled."""
     kept = [c for c in sensors if c not in drop]
-    return add_rolling_features(drop_sensors(df, drop), kept, sizes, stats, position, hot_rows)
+    return add_rolling_features(drop_sensors(df, drop), kept, sizes, stats, position, layout)
 
 
 def build_features(
@@ -158,7 +164,7 @@ def build_features(
     stats: list[str] = ROLLING_STATS,
     drop: list[str] = LOW_VARIANCE_SENSORS,
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Drop, roll, scale and window with one shuffle.
 
@@ -167,9 +173,9 @@ def build_features(
     """
     frame = drop_sensors(df, drop)
     present = [c for c in SENSORS if c in frame.columns]
-    frame, place = _with_position(frame, position, hot_rows)
-    over = chunk_window(place)
-    chunked = open_chunks(frame, max(sizes) - 1 + size - 1, place, hot_rows)
+    frame, place = _with_position(frame, position, layout)
+    over = chunk_window(place, layout)
+    chunked = open_chunks(frame, max(sizes) - 1 + size - 1, place, layout)
     rolled = chunked.select("*", *rolling_columns(present, over, sizes, stats))
     names = [c for c in rolled.columns if c not in ("_chunk", "_halo", "_position")]
     features = [c for c in feature_columns(rolled.select(*names))]

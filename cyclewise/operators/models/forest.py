@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.constants import SEED, TREE_SAMPLE, TREES
 from cyclewise.functions.numeric import ratio
+from cyclewise.session import settle
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
 #: Rows the trees draw from; a multiple of the sample so that trees differ.
@@ -165,29 +166,31 @@ class Forest:
 
     def score(self, spark: SparkSession, features: Column) -> Column:
         """Raw score over the range of the fit set; a new extreme may leave [0, 1]."""
+        return self.in_range(self.raw_score(spark, features))
+
+    def in_range(self, raw: Column) -> Column:
         if self.low is None or self.high is None:
             raise ValueError("score range unknown: fit with fit_forest or set low and high")
-        return ratio(
-            self.raw_score(spark, features) - F.lit(self.low), F.lit(self.high - self.low)
-        )
+        return ratio(raw - F.lit(self.low), F.lit(self.high - self.low))
 
 
-def fit_forest(
+def fit_and_score(
     df: DataFrame,
     keys: list[str],
     trees: int = TREES,
     sample_size: int = TREE_SAMPLE,
     seed: int = SEED,
-) -> Forest:
-    """Fit, then take the score range of the fit rows."""
+) -> tuple[Forest, DataFrame]:
+    """Fit, and score the fit rows once; their raw scores are settled for the range."""
     nodes = fit_nodes(df, keys, trees, sample_size, seed).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
-    used = min(sample_size, int(df.limit(sample_size).count()))
-    forest = Forest(nodes, used)
-    span = (
-        df.select(forest.raw_score(df.sparkSession, F.col("features")).alias("s"))
-        .agg(F.min("s").alias("low"), F.max("s").alias("high"))
-        .first()
-    )
+    forest = Forest(nodes, min(sample_size, df.limit(sample_size).count()))
+    raw = forest.raw_score(df.sparkSession, F.col("features"))
+    scored = settle(df.select(*[c for c in df.columns if c != "features"], raw.alias("raw")))
+    span = scored.agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
     forest.low, forest.high = span["low"], span["high"]
-    return forest
+    return forest, scored.withColumn("score", forest.in_range(F.col("raw"))).drop("raw")
+
+
+def fit_forest(df: DataFrame, keys: list[str], **options) -> Forest:
+    return fit_and_score(df, keys, **options)[0]

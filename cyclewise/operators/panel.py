@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclewise.constants import CYCLE, HOT_ROWS, RUL_THRESHOLD, UNIT
+from cyclewise.constants import CYCLE, RUL_THRESHOLD, UNIT
 from cyclewise.functions.numeric import nan_to_null
-from cyclewise.operators.unit_order import number_rows, unit_max
+from cyclewise.operators.unit_order import SPLIT, Layout, number_rows, unit_max
 
 START = "2024-01-01 00:00:00"
 
@@ -17,16 +17,16 @@ def canonical(name: str) -> Column:
     return nan_to_null(F.col(name)).alias(name)
 
 
-def compute_rul(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def compute_rul(df: DataFrame, layout: Layout = SPLIT) -> DataFrame:
     """``rul`` = last cycle of the unit minus the current cycle."""
-    with_last = unit_max(df, CYCLE, "_last", hot_rows=hot_rows)
+    with_last = unit_max(df, CYCLE, "_last", layout=layout)
     return with_last.withColumn("rul", F.col("_last") - F.col(CYCLE)).drop("_last")
 
 
 def label_anomalies(
-    df: DataFrame, threshold: int = RUL_THRESHOLD, hot_rows: int = HOT_ROWS
+    df: DataFrame, threshold: int = RUL_THRESHOLD, layout: Layout = SPLIT
 ) -> DataFrame:
-    labeled = df if "rul" in df.columns else compute_rul(df, hot_rows)
+    labeled = df if "rul" in df.columns else compute_rul(df, layout)
     return labeled.withColumn("is_anomaly", (F.col("rul") < threshold).cast("int"))
 
 
@@ -41,26 +41,26 @@ def add_simulated_timestamps(
     start: str = START,
     interval_seconds: int = 1,
     index: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """``index`` is the row index in the unit from 0, numbered here when not given."""
     if index is not None:
         return df.withColumn("timestamp", simulated_time(index, start, interval_seconds))
-    numbered = number_rows(df, [CYCLE], position="_row", hot_rows=hot_rows)
+    numbered = number_rows(df, [CYCLE], position="_row", layout=layout)
     return numbered.withColumn(
         "timestamp", simulated_time(F.col("_row") - 1, start, interval_seconds)
     ).drop("_row")
 
 
 def label_test_panel(
-    df: DataFrame, rul: DataFrame, threshold: int = RUL_THRESHOLD, hot_rows: int = HOT_ROWS
+    df: DataFrame, rul: DataFrame, threshold: int = RUL_THRESHOLD, layout: Layout = SPLIT
 ) -> DataFrame:
     """Remaining life of units cut off before failure, from their last known value.
 
     A plain equi-join: Spark broadcasts the label list below its own threshold and
     splits skewed units above it.
     """
-    with_last = unit_max(df, CYCLE, "_last", hot_rows=hot_rows)
+    with_last = unit_max(df, CYCLE, "_last", layout=layout)
     joined = with_last.join(rul, UNIT)
     return label_anomalies(
         joined.withColumn("rul", F.col("rul_last") + F.col("_last") - F.col(CYCLE)).drop(

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from cyclewise.constants import (
     CYCLE,
-    HOT_ROWS,
     LABEL_COLUMNS,
     RAW_COLUMNS,
     SEED,
@@ -20,7 +19,7 @@ from cyclewise.constants import (
 )
 from cyclewise.functions.contracts import REASONS, reading_reasons
 from cyclewise.functions.numeric import is_infinite
-from cyclewise.operators.unit_order import previous_value
+from cyclewise.operators.unit_order import SPLIT, Layout, previous_value
 
 SHOWN_UNITS = 5
 
@@ -108,12 +107,12 @@ def unit_continuity(df: DataFrame) -> DataFrame:
     return per_unit.withColumn("has_gap", F.col("n_rows") != expected)
 
 
-def gap_rows(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def gap_rows(df: DataFrame, layout: Layout = SPLIT) -> DataFrame:
     """Rows whose preceding cycle in the unit is not the previous number.
 
     Unlike the count test it sees a gap that a duplicate hides.
     """
-    before = previous_value(df.select(UNIT, CYCLE), CYCLE, "previous_cycle", hot_rows=hot_rows)
+    before = previous_value(df.select(UNIT, CYCLE), CYCLE, "previous_cycle", layout=layout)
     return before.filter(F.col(CYCLE) - F.col("previous_cycle") > 1)
 
 

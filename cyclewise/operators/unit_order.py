@@ -11,10 +11,16 @@ functions here never do that:
 
 Side tables hold at most ``rows / hot_rows`` hot units and about twice as many
 slices, which is what bounds the broadcasts below.
+
+``Layout.measured`` counts the rows per unit once. Only when that shows that no
+unit is above the limit do the same functions use the plain window, which lets
+numbering and all features share one shuffle.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +31,28 @@ CHUNK = "_chunk"
 HALO = "_halo"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How large a unit may get before its rows are spread over several tasks."""
+
+    hot_rows: int = HOT_ROWS
+    largest: int | None = None
+
+    @classmethod
+    def measured(cls, df: DataFrame, unit: str = UNIT, hot_rows: int = HOT_ROWS) -> Layout:
+        """Count the rows per unit; reads the unit column only and combines before shuffling."""
+        per_unit = df.groupBy(unit).agg(F.count(F.lit(1)).alias("n"))
+        return cls(hot_rows, per_unit.agg(F.max("n")).first()[0] or 0)
+
+    @property
+    def splits(self) -> bool:
+        """True unless every unit is known to fit into one task."""
+        return self.largest is None or self.largest > self.hot_rows
+
+
+SPLIT = Layout()
+
+
 def _axis(df: DataFrame, name: str) -> Column:
     """The leading order column as a number, so that it can be cut into slices."""
     kind = df.schema[name].dataType
@@ -35,8 +63,8 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot slice on {name}: {kind.simpleString()}")
 
 
-def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``_slice`` (0 for ordinary units), and the table of hot units."""
+def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> DataFrame:
+    """Rows with ``_slice``, 0 for ordinary units, and the facts of a hot unit."""
     hot = (
         df.groupBy(unit)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi"))
@@ -57,10 +85,9 @@ def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> tuple[Data
             F.col("_parts") - 1,
         ),
     )
-    rows = df.join(F.broadcast(hot), unit, "left").withColumn(
+    return df.join(F.broadcast(hot), unit, "left").withColumn(
         "_slice", F.coalesce(part.cast("long"), F.lit(0).cast("long"))
     )
-    return rows, hot
 
 
 def number_rows(
@@ -69,13 +96,24 @@ def number_rows(
     unit: str = UNIT,
     position: str = CYCLE,
     remaining: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
 ) -> DataFrame:
     """Number the rows of each unit from 1 in ``order``, with one shuffle of the rows.
 
     ``remaining`` names an optional column with the rows still to come in the unit.
     """
-    rows, hot = _sliced(df, _axis(df, order[0]), unit, hot_rows)
+    kept = [*df.columns, position] + ([remaining] if remaining else [])
+    if not layout.splits:
+        whole = Window.partitionBy(unit)
+        numbered = df.withColumn(
+            position, F.row_number().over(whole.orderBy(*order)).cast("long")
+        )
+        if remaining is not None:
+            numbered = numbered.withColumn(
+                remaining, F.count(F.lit(1)).over(whole) - F.col(position)
+            )
+        return numbered.select(*kept)
+    rows = _sliced(df, _axis(df, order[0]), unit, layout.hot_rows)
     before = Window.partitionBy(unit).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.filter(F.col("_rows").isNotNull())
@@ -91,17 +129,19 @@ def number_rows(
     if remaining is not None:
         total = F.coalesce(F.col("_rows"), F.count(F.lit(1)).over(group))
         numbered = numbered.withColumn(remaining, (total - F.col(position)).cast("long"))
-    kept = [*df.columns, position] + ([remaining] if remaining else [])
     return numbered.select(*kept)
 
 
 def open_chunks(
-    df: DataFrame, lookback: int, position: str = CYCLE, chunk_rows: int = HOT_ROWS
+    df: DataFrame, lookback: int, position: str = CYCLE, layout: Layout = SPLIT
 ) -> DataFrame:
     """Add the chunk of each row and copy border rows into the next chunk as halo rows.
 
     ``position`` has to count the rows of a unit without gaps, see ``number_rows``.
     """
+    if not layout.splits:
+        return df.withColumn(CHUNK, F.lit(0)).withColumn(HALO, F.lit(False))
+    chunk_rows = layout.hot_rows
     if chunk_rows <= lookback:
         raise ValueError(f"chunk_rows ({chunk_rows}) must exceed lookback ({lookback})")
     zero_based = F.col(position) - 1
@@ -112,8 +152,11 @@ def open_chunks(
     ).withColumn(HALO, F.col(CHUNK) > home)
 
 
-def chunk_window(position: str = CYCLE, unit: str = UNIT) -> WindowSpec:
-    return Window.partitionBy(unit, CHUNK).orderBy(position)
+def chunk_window(
+    position: str = CYCLE, layout: Layout = SPLIT, unit: str = UNIT
+) -> WindowSpec:
+    keys = [unit, CHUNK] if layout.splits else [unit]
+    return Window.partitionBy(*keys).orderBy(position)
 
 
 def close_chunks(df: DataFrame) -> DataFrame:
@@ -121,25 +164,29 @@ def close_chunks(df: DataFrame) -> DataFrame:
 
 
 def unit_max(
-    df: DataFrame, value: str, out: str, unit: str = UNIT, hot_rows: int = HOT_ROWS
+    df: DataFrame, value: str, out: str, unit: str = UNIT, layout: Layout = SPLIT
 ) -> DataFrame:
     """Attach the largest ``value`` of the unit to each of its rows.
 
     Ordinary units use a window, units above ``hot_rows`` a broadcast table of at
     most ``rows / hot_rows`` entries; their rows are spread by slices of ``value``.
     """
-    axis = F.col(value).cast("double")
-    rows, _ = _sliced(df, axis, unit, hot_rows)
+    if not layout.splits:
+        return df.withColumn(out, F.max(value).over(Window.partitionBy(unit)))
+    rows = _sliced(df, F.col(value).cast("double"), unit, layout.hot_rows)
     in_slice = F.max(value).over(Window.partitionBy(unit, "_slice"))
     hot_max = F.col("_hi").cast(df.schema[value].dataType)
     return rows.withColumn(out, F.coalesce(hot_max, in_slice)).select(*df.columns, out)
 
 
 def previous_value(
-    df: DataFrame, value: str, out: str, unit: str = UNIT, hot_rows: int = HOT_ROWS
+    df: DataFrame, value: str, out: str, unit: str = UNIT, layout: Layout = SPLIT
 ) -> DataFrame:
     """Attach the preceding ``value`` of the unit, NULL on its first row."""
-    rows, _ = _sliced(df, F.col(value).cast("double"), unit, hot_rows)
+    if not layout.splits:
+        before = F.lag(value).over(Window.partitionBy(unit).orderBy(value))
+        return df.withColumn(out, before)
+    rows = _sliced(df, F.col(value).cast("double"), unit, layout.hot_rows)
     tops = (
         rows.filter(F.col("_rows").isNotNull())
         .groupBy(unit, "_slice")

@@ -59,9 +59,8 @@ def _round_list(names, digits=6):
     )
 )
 def rolling_features(spark, sf_dir):
-    rolled = features.add_rolling_features(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    rolled = features.add_rolling_features(rows, ["sensor_2"], position=CYCLE, layout=layout)
     return rounded_all(rolled.select(UNIT, CYCLE, *_ROLLED_NAMES))
 
 
@@ -81,12 +80,13 @@ _GAP_NAMES = [rolling_name(c, s, 5) for s in ROLLING_STATS for c in ("sensor_4",
 )
 def rolling_with_missing(spark, sf_dir):
     """Missing values are skipped by the statistics and 0 in the output; cycles have gaps."""
-    rows = fixtures.supplier_panel(spark, sf_dir).select(
+    panel, layout = fixtures.supplier_panel(spark, sf_dir)
+    rows = panel.select(
         UNIT,
         (F.col(CYCLE) * 3).alias(CYCLE),
         *[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in ("sensor_4", "sensor_7")],
     )
-    return rounded_all(features.add_rolling_features(rows, ["sensor_4", "sensor_7"], [5]))
+    return rounded_all(features.add_rolling_features(rows, ["sensor_4", "sensor_7"], [5], layout=layout))
 
 
 @query(
@@ -100,7 +100,7 @@ def rolling_with_missing(spark, sf_dir):
     )
 )
 def minmax_fit(spark, sf_dir):
-    return rounded_all(scalers.min_max_table(fixtures.supplier_panel(spark, sf_dir), P2), 2)
+    return rounded_all(scalers.min_max_table(fixtures.supplier_panel(spark, sf_dir)[0], P2), 2)
 
 
 @query(
@@ -118,7 +118,7 @@ def minmax_fit(spark, sf_dir):
     )
 )
 def minmax_apply(spark, sf_dir):
-    rows = fixtures.supplier_panel(spark, sf_dir).select(UNIT, CYCLE, *P2)
+    rows = fixtures.supplier_panel(spark, sf_dir)[0].select(UNIT, CYCLE, *P2)
     return rounded_all(scalers.transform_features(rows, scalers.fit_scaler(rows, "min_max")))
 
 
@@ -135,7 +135,7 @@ def minmax_apply(spark, sf_dir):
     )
 )
 def zscore_fit(spark, sf_dir):
-    table = scalers.mean_std_table(fixtures.supplier_panel(spark, sf_dir), P2)
+    table = scalers.mean_std_table(fixtures.supplier_panel(spark, sf_dir)[0], P2)
     special = {f"{c}_{n}": _DIGITS[c] for c in P2 for n in ("mean", "std")}
     return rounded_all(table, 6, **special)
 
@@ -156,7 +156,7 @@ def zscore_fit(spark, sf_dir):
     )
 )
 def zscore_apply(spark, sf_dir):
-    rows = fixtures.supplier_panel(spark, sf_dir).select(UNIT, CYCLE, *P2)
+    rows = fixtures.supplier_panel(spark, sf_dir)[0].select(UNIT, CYCLE, *P2)
     return rounded_all(scalers.transform_features(rows, scalers.fit_scaler(rows, "standard")))
 
 
@@ -174,9 +174,8 @@ _FRAME = "(PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN 29 PRECEDING A
     )
 )
 def sliding_windows(spark, sf_dir):
-    built = features.sliding_windows(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    built = features.sliding_windows(rows, ["sensor_2"], position=CYCLE, layout=layout)
     flat = F.flatten("window")
     return built.select(
         UNIT,
@@ -203,9 +202,9 @@ def sliding_windows(spark, sf_dir):
     )
 )
 def window_summary(spark, sf_dir):
-    rows = fixtures.supplier_panel(spark, sf_dir)
+    rows, layout = fixtures.supplier_panel(spark, sf_dir)
     special = {f"{c}_{n}": _SUMMARY_DIGITS[c] for c in P2 for n in ("mean", "std")}
-    return rounded_all(features.window_summary(rows, P2, position=CYCLE), 6, **special)
+    return rounded_all(features.window_summary(rows, P2, position=CYCLE, layout=layout), 6, **special)
 
 
 @query(
@@ -221,9 +220,8 @@ def window_summary(spark, sf_dir):
     )
 )
 def forecast_pairs(spark, sf_dir):
-    built = features.sliding_windows(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    built = features.sliding_windows(rows, ["sensor_2"], position=CYCLE, layout=layout)
     pairs = built.select(
         UNIT,
         CYCLE,
@@ -259,9 +257,8 @@ def forecast_pairs(spark, sf_dir):
     name="patches",
 )
 def window_patches(spark, sf_dir):
-    built = features.sliding_windows(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    built = features.sliding_windows(rows, ["sensor_2"], position=CYCLE, layout=layout)
     cut = built.select(
         UNIT, CYCLE, F.posexplode(patches(F.flatten("window"), 30)).alias("patch", "values")
     )
@@ -296,7 +293,8 @@ _SCALE_SQL = (
 )
 def flagship_features(spark, sf_dir):
     """Panel, labels, rolling features, scaling, and the mean features of every unit."""
-    engineered = features.engineer(fixtures.user_readings(spark, sf_dir), position=CYCLE)
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    engineered = features.engineer(rows, position=CYCLE, layout=layout)
     scaled = scalers.transform_features(engineered, scalers.fit_scaler(engineered))
     return scaled.groupBy(UNIT).agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -320,9 +318,9 @@ def flagship_features(spark, sf_dir):
 )
 def feature_windows(spark, sf_dir):
     """The whole feature pipeline up to scaled windows; features summed over the steps."""
-    rows = fixtures.user_readings(spark, sf_dir)
-    scaler = scalers.fit_scaler(features.engineer(rows, position=CYCLE))
-    built = features.build_features(rows, scaler, position=CYCLE)
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    scaler = scalers.fit_scaler(features.engineer(rows, position=CYCLE, layout=layout))
+    built = features.build_features(rows, scaler, position=CYCLE, layout=layout)
     return built.select(
         UNIT,
         CYCLE,
@@ -346,7 +344,8 @@ def _step_sum(i: int) -> Column:
 )
 def channel_reduction(spark, sf_dir):
     """Full panel: 101 features, 17 of them raw channels."""
-    engineered = features.engineer(fixtures.vector_panel(spark, sf_dir), position=CYCLE)
+    rows, layout = fixtures.vector_panel(spark, sf_dir)
+    engineered = features.engineer(rows, position=CYCLE, layout=layout)
     names = scalers.feature_columns(engineered)
     raw = scalers.raw_feature_columns(names)
     return (
@@ -380,9 +379,9 @@ def channel_reduction(spark, sf_dir):
 )
 def window_normalise(spark, sf_dir):
     """Raw windows scaled with the fitted scaler, then reduced to two channels."""
-    rows = fixtures.supplier_panel(spark, sf_dir)
+    rows, layout = fixtures.supplier_panel(spark, sf_dir)
     scaler = scalers.fit_scaler(rows, columns=P2)
-    built = features.sliding_windows(rows, P2, 10, position=CYCLE)
+    built = features.sliding_windows(rows, P2, 10, position=CYCLE, layout=layout)
     scaled = scalers.transform_window(F.col("window"), scaler, P2)
     picked = built.select(UNIT, CYCLE, pick_features(scaled, [1, 3]).alias("window"))
 
@@ -404,7 +403,6 @@ def window_normalise(spark, sf_dir):
     )
 )
 def normal_windows(spark, sf_dir):
-    built = features.window_summary(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    built = features.window_summary(rows, ["sensor_2"], position=CYCLE, layout=layout)
     return built.filter("label = 0").groupBy(UNIT).agg(F.count(F.lit(1)).alias("n_normal"))

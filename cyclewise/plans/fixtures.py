@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cyclewise.constants import CYCLE, OP_SETTINGS, SENSORS, UNIT
 from cyclewise.functions.decisions import engine_name
 from cyclewise.operators.panel import label_anomalies
-from cyclewise.operators.unit_order import number_rows
+from cyclewise.operators.unit_order import Layout, number_rows
 from cyclewise.sources.tables import read_table
 
 SUPPLIER_SENSORS = {
@@ -28,28 +28,32 @@ def _plain(name: str) -> Column:
     return F.col(name) + F.lit(0.0)
 
 
-def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     """One channel per user; the cycle is the row number in event time."""
     readings = read_table(spark, sf_dir, "events").select(
         F.col("user_id").alias(UNIT), "event_id", "ts", _plain("value").alias("sensor_2")
     )
-    return label_anomalies(number_rows(readings, ["ts", "event_id"], remaining="rul"))
+    layout = Layout.measured(readings)
+    numbered = number_rows(readings, ["ts", "event_id"], remaining="rul", layout=layout)
+    return label_anomalies(numbered), layout
 
 
-def user_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_readings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     """The user panel with the columns of a labeled panel only."""
-    return user_panel(spark, sf_dir).select(UNIT, CYCLE, "sensor_2", "rul", "is_anomaly")
+    panel, layout = user_panel(spark, sf_dir)
+    return panel.select(UNIT, CYCLE, "sensor_2", "rul", "is_anomaly"), layout
 
 
-def supplier_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     """Four channels per supplier, ordered by ship date."""
     lines = read_table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias(UNIT),
         *SUPPLIER_ORDER,
         *[_plain(source).alias(name) for name, source in SUPPLIER_SENSORS.items()],
     )
-    numbered = number_rows(lines, SUPPLIER_ORDER, remaining="rul")
-    return label_anomalies(numbered.select(UNIT, CYCLE, *SUPPLIER_SENSORS, "rul"))
+    layout = Layout.measured(lines)
+    numbered = number_rows(lines, SUPPLIER_ORDER, remaining="rul", layout=layout)
+    return label_anomalies(numbered.select(UNIT, CYCLE, *SUPPLIER_SENSORS, "rul")), layout
 
 
 def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +77,7 @@ def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vector_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vector_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
     """All 26 columns from the first 24 numbers of every vector; one unit per label."""
     vectors = read_table(spark, sf_dir, "embeddings")
     values = [
@@ -84,7 +88,9 @@ def vector_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id",
         *[v.alias(n) for v, n in zip(values, [*OP_SETTINGS, *SENSORS])],
     )
-    return number_rows(readings, ["vec_id"]).select(UNIT, CYCLE, *OP_SETTINGS, *SENSORS)
+    layout = Layout.measured(readings)
+    numbered = number_rows(readings, ["vec_id"], layout=layout)
+    return numbered.select(UNIT, CYCLE, *OP_SETTINGS, *SENSORS), layout
 
 
 def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -108,10 +114,9 @@ def score_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored readings of a fleet: some engines pass their design life, some do not."""
+    events = read_table(spark, sf_dir, "events").withColumnRenamed("user_id", UNIT)
     numbered = number_rows(
-        read_table(spark, sf_dir, "events").withColumnRenamed("user_id", UNIT),
-        ["ts", "event_id"],
-        position="cycle",
+        events, ["ts", "event_id"], position="cycle", layout=Layout.measured(events)
     )
     return numbered.select(
         engine_name(F.col(UNIT)).alias("engine_id"),

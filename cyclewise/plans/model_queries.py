@@ -11,7 +11,7 @@ from cyclewise.functions.decisions import engine_name
 from cyclewise.operators import features, scalers
 from cyclewise.operators.fleet import fleet_status
 from cyclewise.operators.models.forecast import fit_ridge, naive_error
-from cyclewise.operators.models.forest import fit_forest
+from cyclewise.operators.models.forest import fit_and_score
 from cyclewise.operators.models.reconstruction import fit_reconstruction, reconstruction_error
 from cyclewise.operators.scoring import Detector, anomalies_only, decide, detect
 from cyclewise.plans import fixtures
@@ -25,7 +25,7 @@ from cyclewise.plans.registry import (
     with_,
 )
 from cyclewise.plans.feature_queries import _ROLLED, _ROLLED_NAMES, _round_list
-from cyclewise.session import shared_dir
+from cyclewise.session import settle, shared_dir
 from cyclewise.sources.stores import read_events, write_event_batch
 from cyclewise.sources.tables import read_table
 from cyclewise.streaming import jobs
@@ -52,9 +52,8 @@ def _naive_sql(value):
     )
 )
 def naive_forecast_score(spark, sf_dir):
-    built = features.sliding_windows(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    )
+    panel, layout = fixtures.user_readings(spark, sf_dir)
+    built = features.sliding_windows(panel, ["sensor_2"], position=CYCLE, layout=layout)
     return built.select(
         UNIT, CYCLE, "label", rounded(naive_error(F.col("window"), 30)).alias("score")
     )
@@ -82,35 +81,30 @@ _P2 = list(fixtures.SUPPLIER_SENSORS)
 )
 def naive_batch_scoring(spark, sf_dir):
     """Raw windows of four channels through the whole scoring chain."""
-    rows = fixtures.supplier_panel(spark, sf_dir)
+    rows, layout = fixtures.supplier_panel(spark, sf_dir)
     detector = Detector("naive_forecast", 0.15, _P2, scalers.fit_scaler(rows, columns=_P2))
-    raw = features.sliding_windows(rows, _P2, position=CYCLE)
+    raw = features.sliding_windows(rows, _P2, position=CYCLE, layout=layout)
     named = raw.select(engine_name(F.col(UNIT)).alias("sensor_id"), CYCLE, "window")
     return rounded_all(detect(named, detector))
 
 
 def _summaries(spark, sf_dir):
-    table = features.window_summary(
-        fixtures.supplier_panel(spark, sf_dir), _P2, position=CYCLE
-    )
+    rows, layout = fixtures.supplier_panel(spark, sf_dir)
+    table = features.window_summary(rows, _P2, position=CYCLE, layout=layout)
     names = [f"{c}_{n}" for n in ("mean", "std") for c in _P2]
     return table.select(UNIT, CYCLE, "label", F.array(*names).alias("features"))
 
 
 @query()
 def iforest_scores(spark, sf_dir):
-    vectors = _summaries(spark, sf_dir)
-    forest = fit_forest(vectors, [UNIT, CYCLE])
-    return vectors.select(
-        UNIT, CYCLE, "label", rounded(forest.score(spark, F.col("features"))).alias("score")
-    )
+    vectors = settle(_summaries(spark, sf_dir))
+    return rounded_all(fit_and_score(vectors, [UNIT, CYCLE])[1])
 
 
 @query()
 def pca_reconstruction(spark, sf_dir):
-    rows = features.sliding_windows(
-        fixtures.user_readings(spark, sf_dir), ["sensor_2"], position=CYCLE
-    ).select(UNIT, CYCLE, "label", F.flatten("window").alias("features"))
+    panel, layout = fixtures.user_readings(spark, sf_dir)
+    rows = features.sliding_windows(panel, ["sensor_2"], position=CYCLE, layout=layout).select(UNIT, CYCLE, "label", F.flatten("window").alias("features"))
     model = fit_reconstruction(rows.filter("label = 0"), 30, latent=8)
     return rounded_all(
         reconstruction_error(rows, model).select(UNIT, CYCLE, "label", "score")
@@ -129,9 +123,8 @@ def vector_reconstruction(spark, sf_dir):
 
 @query()
 def ridge_forecast(spark, sf_dir):
-    rows = features.sliding_windows(
-        fixtures.supplier_panel(spark, sf_dir).drop("rul"), _P2, position=CYCLE
-    )
+    panel, layout = fixtures.supplier_panel(spark, sf_dir)
+    rows = features.sliding_windows(panel, _P2, position=CYCLE, layout=layout)
     model = fit_ridge(rows)
     return rows.select(
         UNIT, CYCLE, "label", rounded(model.error(spark, F.col("window")), 2).alias("score")

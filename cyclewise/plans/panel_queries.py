@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cyclewise.constants import CYCLE, RAW_COLUMNS, UNIT
 from cyclewise.operators import panel, split
 from cyclewise.operators.features import drop_sensors
-from cyclewise.operators.unit_order import number_rows
+from cyclewise.operators.unit_order import Layout, number_rows
 from cyclewise.plans import fixtures
 from cyclewise.plans.registry import (
     SUPPLIER_PANEL,
@@ -46,7 +46,7 @@ def text_panel_scan(spark, sf_dir):
     """The panel written as blank-separated text and read back."""
     path = f"{shared_dir(spark)}/panel-{uuid.uuid4().hex}"
     line = F.concat_ws("  ", *[F.col(c).cast("string") for c in RAW_COLUMNS])
-    fixtures.vector_panel(spark, sf_dir).select(line.alias("value")).write.text(path)
+    fixtures.vector_panel(spark, sf_dir)[0].select(line.alias("value")).write.text(path)
     return rounded_all(read_panel(spark, path), 4)
 
 
@@ -55,7 +55,8 @@ def text_panel_scan(spark, sf_dir):
 )
 def numbered_rows(spark, sf_dir):
     events = read_table(spark, sf_dir, "events").withColumnRenamed("user_id", UNIT)
-    return number_rows(events, ["ts", "event_id"], remaining="rul").select(
+    layout = Layout.measured(events)
+    return number_rows(events, ["ts", "event_id"], remaining="rul", layout=layout).select(
         UNIT, "event_id", CYCLE, "rul"
     )
 
@@ -70,8 +71,8 @@ def numbered_rows(spark, sf_dir):
     )
 )
 def panel_rul_label(spark, sf_dir):
-    raw = fixtures.user_panel(spark, sf_dir).select(UNIT, CYCLE)
-    return panel.label_anomalies(panel.compute_rul(raw))
+    rows, layout = fixtures.user_panel(spark, sf_dir)
+    return panel.label_anomalies(panel.compute_rul(rows.select(UNIT, CYCLE), layout))
 
 
 @query(
@@ -83,8 +84,8 @@ def panel_rul_label(spark, sf_dir):
     )
 )
 def simulated_time(spark, sf_dir):
-    raw = fixtures.user_panel(spark, sf_dir).select(UNIT, CYCLE)
-    return panel.add_simulated_timestamps(raw).select(
+    rows, layout = fixtures.user_panel(spark, sf_dir)
+    return panel.add_simulated_timestamps(rows.select(UNIT, CYCLE), layout=layout).select(
         UNIT, CYCLE, F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_time")
     )
 
@@ -102,7 +103,7 @@ def simulated_time(spark, sf_dir):
 def panel_ingest(spark, sf_dir):
     """Numbering gives order, remaining life and event time from one shuffle."""
     frame = panel.add_simulated_timestamps(
-        fixtures.supplier_panel(spark, sf_dir), index=F.col(CYCLE) - 1
+        fixtures.supplier_panel(spark, sf_dir)[0], index=F.col(CYCLE) - 1
     )
     return rounded_all(
         frame.withColumn("event_second", F.unix_timestamp("timestamp")).drop("timestamp"), 2
@@ -117,7 +118,7 @@ def panel_ingest(spark, sf_dir):
     )
 )
 def unit_lengths(spark, sf_dir):
-    rows = fixtures.user_panel(spark, sf_dir)
+    rows = fixtures.user_panel(spark, sf_dir)[0]
     last = rows.groupBy(UNIT).agg(F.unix_micros(F.max("ts")).alias("last_us"))
     return panel.unit_lengths(rows).join(last, UNIT).select(UNIT, "last_us", "max_cycle", "n_rows")
 
@@ -135,7 +136,7 @@ def unit_counts(spark, sf_dir):
     )
 )
 def class_balance(spark, sf_dir):
-    return rounded_all(panel.class_balance(fixtures.user_panel(spark, sf_dir)))
+    return rounded_all(panel.class_balance(fixtures.user_panel(spark, sf_dir)[0]))
 
 
 @query(
@@ -147,7 +148,7 @@ def class_balance(spark, sf_dir):
     name="drop_sensors",
 )
 def drop_flat_sensors(spark, sf_dir):
-    return drop_sensors(fixtures.vector_panel(spark, sf_dir))
+    return drop_sensors(fixtures.vector_panel(spark, sf_dir)[0])
 
 
 @query(
@@ -162,14 +163,15 @@ def drop_flat_sensors(spark, sf_dir):
 )
 def test_panel_labels(spark, sf_dir):
     """Units cut off before failure, with their known remaining life."""
-    rows = fixtures.vector_panel(spark, sf_dir).select(UNIT, CYCLE)
+    vectors, layout = fixtures.vector_panel(spark, sf_dir)
+    rows = vectors.select(UNIT, CYCLE)
     lives = (
         read_table(spark, sf_dir, "embeddings")
         .select((F.col("label") + 1).cast("long").alias(UNIT))
         .distinct()
         .withColumn("rul_last", F.col(UNIT) * 10)
     )
-    return panel.label_test_panel(rows, lives)
+    return panel.label_test_panel(rows, lives, layout=layout)
 
 
 _SPLIT = """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cyclewise.constants import CYCLE, UNIT
 from cyclewise.functions.contracts import REASONS, request_reasons
 from cyclewise.operators import quality
+from cyclewise.operators.unit_order import Layout
 from cyclewise.plans import fixtures
 from cyclewise.plans.registry import ORDER_PANEL, query, rounded_all, with_
 from cyclewise.sources.tables import read_table
@@ -95,7 +96,8 @@ def quality_labels(spark, sf_dir):
     )
 )
 def gap_rows(spark, sf_dir):
-    return quality.gap_rows(fixtures.order_panel(spark, sf_dir))
+    rows = fixtures.order_panel(spark, sf_dir)
+    return quality.gap_rows(rows, Layout.measured(rows))
 
 
 _STATS = """

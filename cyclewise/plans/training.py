@@ -12,12 +12,10 @@ from cyclewise.constants import (
     CONTAMINATION_GRID,
     CYCLE,
     FORECAST_HORIZON,
-    HOT_ROWS,
     LATENT_DIM,
     SEARCH_MAX,
     SEARCH_MIN,
     SEARCH_STEPS,
-    TREES,
     UNIT,
     WINDOW_SIZE,
 )
@@ -26,6 +24,7 @@ from cyclewise.operators import features, metrics, scalers, split
 from cyclewise.operators.models.forecast import fit_ridge
 from cyclewise.operators.models.forest import fit_forest
 from cyclewise.operators.models.reconstruction import fit_reconstruction
+from cyclewise.operators.unit_order import SPLIT, Layout
 from cyclewise.operators.scoring import Detector, canonical_model, score
 from cyclewise.session import settle
 from cyclewise.sources.stores import append_run, save_detector
@@ -46,7 +45,7 @@ def prepare(
     length: int = WINDOW_SIZE,
     method: str = "min_max",
     position: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    layout: Layout = SPLIT,
     **split_args,
 ) -> Prepared:
     """Split by unit, engineer once, fit the scaler on the training rows only.
@@ -56,7 +55,7 @@ def prepare(
     """
     tagged = split.with_split(panel, **split_args)
     engineered = settle(
-        features.engineer(tagged, position=position, hot_rows=hot_rows)
+        features.engineer(tagged, position=position, layout=layout)
     )
     names = [c for c in scalers.feature_columns(engineered) if c != "split"]
     scaler = scalers.fit_scaler(engineered.filter("split = 'train'"), method, names)
@@ -67,7 +66,7 @@ def prepare(
             names,
             length,
             position,
-            hot_rows,
+            layout,
         )
         for part in ("train", "val", "test")
     }
@@ -84,7 +83,7 @@ def fit_detector(prepared: Prepared, model: str, **options) -> Detector:
         vectors = train.select(
             UNIT, CYCLE, summary_vector(F.col("window"), len(names)).alias("features")
         )
-        fitted = fit_forest(settle(vectors), [UNIT, CYCLE], options.pop("trees", TREES), **options)
+        fitted = fit_forest(settle(vectors), [UNIT, CYCLE], **options)
     elif kind == "reconstruction":
         normal = train.filter("label = 0").select(F.flatten("window").alias("features"))
         fitted = fit_reconstruction(

@@ -46,6 +46,20 @@ def output_schema(sensors: list[str], sizes: list[int]) -> T.StructType:
     )
 
 
+def rolling_statistics(series: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample deviation over the last ``size`` rows, missing values skipped.
+
+    Frames at the start are shorter; without enough values the result is 0.
+    """
+    padded = np.vstack([np.full((size - 1, series.shape[1]), np.nan), series])
+    frames = np.lib.stride_tricks.sliding_window_view(padded, size, axis=0)
+    known = ~np.isnan(frames)
+    n = known.sum(axis=-1)
+    mean = np.where(known, frames, 0.0).sum(axis=-1) / np.maximum(n, 1)
+    off = np.where(known, frames - mean[..., None], 0.0)
+    return mean, np.sqrt((off * off).sum(axis=-1) / np.maximum(n - 1, 1))
+
+
 class RingBuffer(StatefulProcessor):
     """Holds the last rows of a unit, one less than the longest frame.
 
@@ -115,14 +129,12 @@ class RingBuffer(StatefulProcessor):
     def _features(
         self, key: Any, fresh: pd.DataFrame, series: np.ndarray, old: int, seen: int
     ) -> pd.DataFrame:
-        frame = pd.DataFrame(series, columns=self.sensors)
         out = self._frame(key, fresh)
         out[CYCLE] = np.arange(seen + 1, seen + len(fresh) + 1)
         for size in self.sizes:
-            rolled = frame.rolling(size, min_periods=1)
-            for stat, table in (("mean", rolled.mean()), ("std", rolled.std())):
-                for c in self.sensors:
-                    out[rolling_name(c, stat, size)] = table[c].fillna(0.0).to_numpy()[old:]
+            for stat, table in zip(("mean", "std"), rolling_statistics(series, size)):
+                for i, c in enumerate(self.sensors):
+                    out[rolling_name(c, stat, size)] = table[old:, i]
         filled = np.nan_to_num(series)
         out["window"] = [
             filled[i + 1 - self.window : i + 1].tolist() if i + 1 >= self.window else None
