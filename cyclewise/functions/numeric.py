@@ -74,7 +74,8 @@ def kolmogorov_p_value(statistic: Column, n1: Column, n2: Column, terms: int = 1
     Uses the classic small-sample correction of the effective size. Decisions
     close to p = 0.05 on small samples can differ from an exact test.
     """
-    effective = F.sqrt(n1 * n2 / (n1 + n2))
+    a, b = n1.cast("double"), n2.cast("double")  # the product of two counts exceeds a long
+    effective = F.sqrt(a * b / (a + b))
     x = (effective + 0.12 + 0.11 / effective) * statistic
     tail = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.constants import DRIFT_P_VALUE, DRIFT_SHARE
 from cyclewise.functions.numeric import is_missing, kolmogorov_p_value
+from cyclewise.functions.small_sample import exact_p_values
 from cyclewise.operators.prefix import BUCKET, BUCKETS, running_totals, with_buckets
 
 #: Choice of test of the preset report: up to this many reference rows the
@@ -69,17 +70,21 @@ def ks_test(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int = BUCKETS,
+    method: str = "auto",
 ) -> DataFrame:
-    """Two-sample statistic and asymptotic p-value per feature.
+    """Two-sample statistic and p-value per feature.
 
-    A feature without values on one side has no row.
+    A feature without values on one side has no row. ``auto`` tests samples of up to
+    10 000 rows exactly and larger ones by the limit law; ``asymptotic`` always uses
+    the limit law.
     """
     columns = columns or common_columns(reference, current)
     return _p_values(
         _both_sided(
             _ecdf(reference, current, columns, buckets).groupBy("feature"),
             F.max("gap").alias("statistic"),
-        )
+        ),
+        method,
     )
 
 
@@ -92,11 +97,17 @@ def _both_sided(grouped: GroupedData, *measures: Column) -> DataFrame:
     ).filter((F.col("n_reference") > 0) & (F.col("n_current") > 0))
 
 
-def _p_values(tested: DataFrame) -> DataFrame:
-    p_value = kolmogorov_p_value(
-        F.col("statistic"), F.col("n_reference"), F.col("n_current")
+def _p_values(tested: DataFrame, method: str) -> DataFrame:
+    facts = F.col("statistic"), F.col("n_reference"), F.col("n_current")
+    if method == "asymptotic":
+        return tested.withColumn("p_value", kolmogorov_p_value(*facts))
+    if method != "auto":
+        raise ValueError(f"Unknown method: {method}. Use 'auto' or 'asymptotic'.")
+    return (
+        tested.withColumn("_exact", exact_p_values(*facts))
+        .withColumn("p_value", F.coalesce("_exact", kolmogorov_p_value(*facts)))
+        .drop("_exact")
     )
-    return tested.withColumn("p_value", p_value)
 
 
 def compare(
@@ -104,6 +115,7 @@ def compare(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int = BUCKETS,
+    method: str = "auto",
 ) -> DataFrame:
     """Test and distance per feature from one pass.
 
@@ -142,7 +154,8 @@ def compare(
     )
     normed = F.col("distance") / F.greatest(F.col("spread"), F.lit(0.001))
     return _p_values(
-        measured.join(F.broadcast(spreads), "feature").withColumn("normed_distance", normed)
+        measured.join(F.broadcast(spreads), "feature").withColumn("normed_distance", normed),
+        method,
     ).drop("spread")
 
 
@@ -153,7 +166,7 @@ def wasserstein(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """First Wasserstein distance per feature, plain and over the reference deviation."""
-    return compare(reference, current, columns, buckets).select(
+    return compare(reference, current, columns, buckets, "asymptotic").select(
         "feature", "distance", "normed_distance", "n_reference", "n_current"
     )
 
@@ -190,6 +203,7 @@ def detect_drift(
     p_value: float = DRIFT_P_VALUE,
     share: float = DRIFT_SHARE,
     buckets: int = BUCKETS,
+    method: str = "auto",
 ) -> DataFrame:
     """Dataset decision: more than ``share`` of the common features drifted.
 
@@ -197,7 +211,7 @@ def detect_drift(
     """
     columns = columns or common_columns(reference, current)
     return decide(
-        ks_test(reference, current, columns, buckets),
+        ks_test(reference, current, columns, buckets, method),
         len(columns),
         F.col("p_value") < p_value,
         F.col("p_value"),
@@ -210,10 +224,11 @@ def preset_report(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int = BUCKETS,
+    method: str = "auto",
 ) -> DataFrame:
     """Decision by the test that suits the size of the reference."""
     columns = columns or common_columns(reference, current)
-    both = compare(reference, current, columns, buckets)
+    both = compare(reference, current, columns, buckets, method)
     small = F.col("n_reference") <= PRESET_SMALL_ROWS
     drifted = F.when(small, F.col("p_value") < DRIFT_P_VALUE).otherwise(
         F.col("normed_distance") >= PRESET_DISTANCE

@@ -334,7 +334,7 @@ def result_contract(spark, sf_dir):
     )
 )
 def ks_drift(spark, sf_dir):
-    return rounded_all(drift.ks_test(*fixtures.drift_pair(spark, sf_dir)))
+    return rounded_all(drift.ks_test(*fixtures.drift_pair(spark, sf_dir), method="asymptotic"))
 
 
 @query(
@@ -349,7 +349,7 @@ def ks_drift(spark, sf_dir):
     )
 )
 def drift_decision(spark, sf_dir):
-    found = drift.detect_drift(*fixtures.drift_pair(spark, sf_dir))
+    found = drift.detect_drift(*fixtures.drift_pair(spark, sf_dir), method="asymptotic")
     return rounded_all(
         found.withColumn("score_sensor_3", F.element_at("drift_scores", "sensor_3"))
         .withColumn("drifted_features", F.concat_ws(",", "drifted_features"))
@@ -393,7 +393,7 @@ def wasserstein(spark, sf_dir):
     )
 )
 def preset_drift(spark, sf_dir):
-    found = drift.preset_report(*fixtures.drift_pair(spark, sf_dir))
+    found = drift.preset_report(*fixtures.drift_pair(spark, sf_dir), method="asymptotic")
     return found.select(
         "is_drifted",
         "num_features_drifted",
