@@ -11,10 +11,11 @@ from cyclewise.operators import panel
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
     """Split on runs of blanks; a value that is no number becomes NULL."""
-    fields = F.split(F.trim("value"), r"\s+")
+    line = F.regexp_replace("value", r"^\s+|\s+$", "")
+    fields = F.split(line, r"\s+")
     return (
         spark.read.text(path)
-        .filter(F.trim("value") != "")
+        .filter(line != "")
         .select(fields.alias("f"))
         .select(
             *[
@@ -32,7 +33,7 @@ def read_remaining_life(spark: SparkSession, path: str) -> DataFrame:
     The line number needs the file in one piece. It holds one short line per unit
     of a test set, not per reading.
     """
-    lines = F.split(F.trim("value"), r"\s+")
+    lines = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
     return (
         spark.read.text(path, wholetext=True)
         .select(F.posexplode(lines).alias("line", "rul"))
