@@ -60,3 +60,7 @@ MAX_MODEL_VERSION = 128
 # Scale limits of this library.
 #: A unit with more rows than this is split over several tasks.
 HOT_ROWS = 250_000
+#: At most this many units are split; the row limit rises with the data to keep it.
+MAX_HOT_UNITS = 250_000
+#: Slices per row limit, so that bursts of this factor still fit into one task.
+SLICE_MARGIN = 4

@@ -9,12 +9,14 @@ functions here never do that:
   ``lookback`` rows of a chunk into the next one, so a bounded frame such as a
   rolling mean is complete inside every chunk.
 
-Side tables hold at most ``rows / hot_rows`` hot units and about twice as many
-slices, which is what bounds the broadcasts below.
-
-``Layout.measured`` counts the rows per unit once. Only when that shows that no
-unit is above the limit do the same functions use the plain window, which lets
-numbering and all features share one shuffle.
+Side tables hold at most ``rows / hot_rows`` hot units and ``2 * SLICE_MARGIN`` times
+as many slices, which is what bounds the broadcasts below.
+
+``Layout.measured`` counts the rows per unit once. It raises the limit with the
+number of rows, so the side tables have a fixed largest size. Only when no unit is
+above the limit do the same functions use the plain window, which lets numbering
+and all features share one shuffle. Slices have equal width in the leading order
+column; a burst beyond the margin makes a long slice, which spills to disk.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclewise.constants import CYCLE, HOT_ROWS, UNIT
+from cyclewise.constants import CYCLE, HOT_ROWS, MAX_HOT_UNITS, SLICE_MARGIN, UNIT
 
 CHUNK = "_chunk"
 HALO = "_halo"
@@ -42,7 +44,8 @@ class Layout:
     def measured(cls, df: DataFrame, unit: str = UNIT, hot_rows: int = HOT_ROWS) -> Layout:
         """Count the rows per unit; reads the unit column only and combines before shuffling."""
         per_unit = df.groupBy(unit).agg(F.count(F.lit(1)).alias("n"))
-        return cls(hot_rows, per_unit.agg(F.max("n")).first()[0] or 0)
+        largest, rows = per_unit.agg(F.max("n"), F.sum("n")).first()
+        return cls(max(hot_rows, (rows or 0) // MAX_HOT_UNITS), largest or 0)
 
     @property
     def splits(self) -> bool:
@@ -75,7 +78,7 @@ def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> DataFrame:
             "_lo",
             "_hi",
             (F.col("_hi") - F.col("_lo")).alias("_span"),
-            F.ceil(F.col("_rows") / F.lit(hot_rows)).alias("_parts"),
+            F.ceil(F.col("_rows") / F.lit(hot_rows) * SLICE_MARGIN).alias("_parts"),
         )
     )
     part = F.when(

@@ -95,13 +95,13 @@ def vector_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
 
 def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Order lines before and from a ship date on, two of the four channels shifted."""
-    lines = read_table(spark, sf_dir, "lineitem")
-    late = F.col("l_shipdate") >= F.lit(DRIFT_DATE).cast("timestamp")
+    late = F.col("l_shipdate") >= F.lit(DRIFT_DATE).cast("timestamp_ntz")
     channels = [_plain(source).alias(name) for name, source in SUPPLIER_SENSORS.items()]
-    current = lines.filter(late).select(*channels)
-    return lines.filter(~late).select(*channels), current.withColumn(
-        "sensor_2", F.col("sensor_2") * 1.25
-    ).withColumn("sensor_7", F.col("sensor_7") + 0.01)
+    reference = read_table(spark, sf_dir, "lineitem", ~late).select(*channels)
+    current = read_table(spark, sf_dir, "lineitem", late).select(*channels)
+    return reference, current.withColumn("sensor_2", F.col("sensor_2") * 1.25).withColumn(
+        "sensor_7", F.col("sensor_7") + 0.01
+    )
 
 
 def score_set(spark: SparkSession, sf_dir: str) -> DataFrame:

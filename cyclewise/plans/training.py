@@ -19,25 +19,43 @@ from cyclewise.constants import (
     UNIT,
     WINDOW_SIZE,
 )
-from cyclewise.functions.arrays import pick_features, summary_vector
 from cyclewise.operators import features, metrics, scalers, split
 from cyclewise.operators.models.forecast import fit_ridge
 from cyclewise.operators.models.forest import fit_forest
 from cyclewise.operators.models.reconstruction import fit_reconstruction
-from cyclewise.operators.unit_order import SPLIT, Layout
 from cyclewise.operators.scoring import Detector, canonical_model, score
+from cyclewise.operators.unit_order import SPLIT, Layout
 from cyclewise.session import settle
 from cyclewise.sources.stores import append_run, save_detector
 
 
 @dataclass
 class Prepared:
-    """Scaled windows per split with the fitted scaler."""
+    """Scaled rows with their split, and the scaler fitted on the training part."""
 
-    windows: dict[str, DataFrame]
+    rows: DataFrame
     scaler: scalers.Scaler
     features: list[str]
     length: int
+    position: str | None
+    layout: Layout
+
+    def part(self, name: str) -> DataFrame:
+        return self.rows.filter(F.col("split") == name).drop("split")
+
+    def windows(self, name: str, columns: list[str] | None = None) -> DataFrame:
+        columns = columns or self.features
+        return features.sliding_windows(
+            self.part(name), columns, self.length, self.position, self.layout
+        )
+
+    def summaries(self, name: str) -> DataFrame:
+        """Mean and deviation of each feature per window, straight from the rows."""
+        table = features.window_summary(
+            self.part(name), self.features, self.length, self.position, self.layout
+        )
+        order = [f"{c}_{n}" for n in ("mean", "std") for c in self.features]
+        return table.select(UNIT, CYCLE, "label", F.array(*order).alias("features"))
 
 
 def prepare(
@@ -60,55 +78,39 @@ def prepare(
     names = [c for c in scalers.feature_columns(engineered) if c != "split"]
     scaler = scalers.fit_scaler(engineered.filter("split = 'train'"), method, names)
     scaled = scalers.transform_features(engineered, scaler, names)
-    windows = {
-        part: features.sliding_windows(
-            scaled.filter(F.col("split") == part).drop("split"),
-            names,
-            length,
-            position,
-            layout,
-        )
-        for part in ("train", "val", "test")
-    }
-    return Prepared(windows, scaler, names, length)
+    return Prepared(scaled, scaler, names, length, position, layout)
 
 
 def fit_detector(prepared: Prepared, model: str, **options) -> Detector:
-    """Fit one scorer on the training windows; the threshold is still open."""
-    kind, train = canonical_model(model), prepared.windows["train"]
+    """Fit one scorer on the training part; the threshold is still open."""
+    kind = canonical_model(model)
     names, length = prepared.features, prepared.length
     horizon = options.pop("horizon", FORECAST_HORIZON)
     fitted = None
     if kind == "isolation_forest":
-        vectors = train.select(
-            UNIT, CYCLE, summary_vector(F.col("window"), len(names)).alias("features")
-        )
-        fitted = fit_forest(settle(vectors), [UNIT, CYCLE], **options)
+        fitted = fit_forest(settle(prepared.summaries("train")), [UNIT, CYCLE], **options)
     elif kind == "reconstruction":
-        normal = train.filter("label = 0").select(F.flatten("window").alias("features"))
+        normal = prepared.windows("train").filter("label = 0")
         fitted = fit_reconstruction(
-            normal, len(names) * length, latent=options.pop("latent", LATENT_DIM)
+            normal.select(F.flatten("window").alias("features")),
+            len(names) * length,
+            latent=options.pop("latent", LATENT_DIM),
         )
     else:
         # the forecast needs the raw channels only
-        raw = scalers.raw_feature_columns(names)
-        train = reduce_channels(train, names, raw)
-        names = raw
+        names = scalers.raw_feature_columns(names)
         if kind == "forecast":
-            fitted = fit_ridge(train, length, horizon, **options)
+            fitted = fit_ridge(prepared.windows("train", names), length, horizon, **options)
     return Detector(kind, 0.0, names, prepared.scaler, fitted, length, horizon)
 
 
-def reduce_channels(windows: DataFrame, names: list[str], kept: list[str]) -> DataFrame:
-    if kept == names:
-        return windows
-    return windows.withColumn("window", pick_features(F.col("window"), [names.index(c) for c in kept]))
-
-
 def scored(prepared: Prepared, detector: Detector, part: str) -> DataFrame:
-    """``(score, label)`` of one split."""
-    rows = reduce_channels(prepared.windows[part], prepared.features, detector.features)
-    return score(rows, detector).select(
+    """``(score, label)`` of one split; the forest never needs the window arrays."""
+    if detector.model_type == "isolation_forest":
+        rows = prepared.summaries(part)
+        value = detector.model.score(rows.sparkSession, F.col("features"))
+        return rows.select(UNIT, CYCLE, value.alias("score"), "label")
+    return score(prepared.windows(part, detector.features), detector).select(
         UNIT, CYCLE, F.col("anomaly_score").alias("score"), "label"
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclewise.constants import CYCLE, RAW_SCHEMA, UNIT
@@ -28,19 +28,33 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_remaining_life(spark: SparkSession, path: str) -> DataFrame:
-    """One number per line; line n belongs to unit n.
+    """One number per line; line n that is not blank belongs to unit n.
 
-    The line number needs the file in one piece. It holds one short line per unit
-    of a test set, not per reading.
+    Lines are counted per file block and numbered inside their block, so a file of
+    any size is read in parallel. Only the list of blocks is ordered in one task.
     """
-    lines = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.posexplode(lines).alias("line", "rul"))
+    text = F.regexp_replace("value", r"^\s+|\s+$", "")
+    block = ["file", "block"]
+    lines = (
+        spark.read.text(path)
         .select(
-            (F.col("line") + 1).cast("long").alias(UNIT),
-            F.col("rul").cast("long").alias("rul_last"),
+            text.alias("rul"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
         )
+        .filter("rul <> ''")
+    )
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        lines.groupBy(*block)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*block, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    )
+    place = F.row_number().over(Window.partitionBy(*block).orderBy("at"))
+    return lines.join(F.broadcast(starts), block).select(
+        (F.col("before") + place).cast("long").alias(UNIT),
+        F.col("rul").cast("long").alias("rul_last"),
     )
 
 
