@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cyclewise.constants import DRIFT_P_VALUE, DRIFT_SHARE
 from cyclewise.functions.numeric import is_missing, kolmogorov_p_value
 from cyclewise.functions.small_sample import exact_p_values
-from cyclewise.operators.prefix import BUCKET, BUCKETS, running_totals, with_buckets
+from cyclewise.operators.prefix import BUCKET, running_totals, with_buckets
 
 #: Choice of test of the preset report: up to this many reference rows the
 #: Kolmogorov-Smirnov test decides, above it the normalised distance.
@@ -31,7 +31,7 @@ def stack_sides(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     )
 
 
-def _long(stacked: DataFrame, columns: list[str], buckets: int) -> DataFrame:
+def _long(stacked: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
     """``(feature, value, bucket, side)`` of the known values."""
     cast = stacked.select("side", *[F.col(c).cast("double").alias(c) for c in columns])
     names = [f"_b_{i}" for i in range(len(columns))]
@@ -48,7 +48,7 @@ def _long(stacked: DataFrame, columns: list[str], buckets: int) -> DataFrame:
 
 
 def _ecdf(
-    reference: DataFrame, current: DataFrame, columns: list[str], buckets: int
+    reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None
 ) -> DataFrame:
     """Both empirical distributions at every distinct value of every feature."""
     long = _long(stack_sides(reference, current, columns), columns, buckets)
@@ -69,7 +69,7 @@ def ks_test(
     reference: DataFrame,
     current: DataFrame,
     columns: list[str] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     method: str = "auto",
 ) -> DataFrame:
     """Two-sample statistic and p-value per feature.
@@ -114,7 +114,7 @@ def compare(
     reference: DataFrame,
     current: DataFrame,
     columns: list[str] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     method: str = "auto",
 ) -> DataFrame:
     """Test and distance per feature from one pass.
@@ -163,7 +163,7 @@ def wasserstein(
     reference: DataFrame,
     current: DataFrame,
     columns: list[str] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """First Wasserstein distance per feature, plain and over the reference deviation."""
     return compare(reference, current, columns, buckets, "asymptotic").select(
@@ -202,7 +202,7 @@ def detect_drift(
     columns: list[str] | None = None,
     p_value: float = DRIFT_P_VALUE,
     share: float = DRIFT_SHARE,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     method: str = "auto",
 ) -> DataFrame:
     """Dataset decision: more than ``share`` of the common features drifted.
@@ -223,7 +223,7 @@ def preset_report(
     reference: DataFrame,
     current: DataFrame,
     columns: list[str] | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     method: str = "auto",
 ) -> DataFrame:
     """Decision by the test that suits the size of the reference."""

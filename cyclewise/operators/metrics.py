@@ -12,7 +12,7 @@ from cyclewise.constants import (
     SEARCH_STEPS,
 )
 from cyclewise.functions.numeric import equal_width_bin, linspace_at, ratio, thresholds_below
-from cyclewise.operators.prefix import BUCKETS, exact_quantiles, running_totals, value_counts
+from cyclewise.operators.prefix import exact_quantiles, running_totals, value_counts
 
 
 def _positives() -> Column:
@@ -68,12 +68,12 @@ def precision_recall_f1(
     )
 
 
-def _ranked(df: DataFrame, buckets: int) -> DataFrame:
+def _ranked(df: DataFrame, buckets: int | None) -> DataFrame:
     counts = value_counts(df, "score", {"pos": _positives(), "neg": _negatives()}, buckets)
     return running_totals(counts, "score", ["pos", "neg"])
 
 
-def auc_roc(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def auc_roc(df: DataFrame, buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve with ties counted half; NULL with one class only."""
     pairs = F.col("pos") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)
     area = _ranked(df, buckets).agg(
@@ -88,7 +88,7 @@ def auc_roc(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     )
 
 
-def roc_points(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def roc_points(df: DataFrame, buckets: int | None = None) -> DataFrame:
     """One point per distinct score: rates of ``score >= threshold``."""
     ranked = _ranked(df, buckets)
     tp = F.col("pos_total") - F.col("pos_upto") + F.col("pos")
@@ -156,7 +156,7 @@ def threshold_search(
     low: float = SEARCH_MIN,
     high: float = SEARCH_MAX,
     steps: int = SEARCH_STEPS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The first threshold with the highest F1, as one row.
 
@@ -194,7 +194,8 @@ def score_histogram(
         "_rows",
     )
     width = (F.col("_hi") - F.col("_lo")) / bins
-    binned = df.select(by, value).join(ranges, by)
+    # one row per class: broadcast, or all rows of a class would meet in one task
+    binned = df.select(by, value).join(F.broadcast(ranges), by)
     return (
         binned.groupBy(
             by,
@@ -230,7 +231,7 @@ def score_normalised(df: DataFrame, low: float | None = None, high: float | None
 
 
 def contamination_cuts(
-    df: DataFrame, contaminations: list[float], exact: bool = True, buckets: int = BUCKETS
+    df: DataFrame, contaminations: list[float], exact: bool = True, buckets: int | None = None
 ) -> list[float]:
     """Score cuts that flag the top share of the fit set; apply as ``score > cut``."""
     shares = [1 - c for c in contaminations]

@@ -123,8 +123,13 @@ class Forest:
 
     model_type = "isolation_forest"
 
-    def raw_score(self, spark: SparkSession, features: Column) -> Column:
-        """``2 ** (-mean path / average path)``, in (0, 1)."""
+    def raw_score(
+        self, spark: SparkSession, features: Column, steps: int | None = None
+    ) -> Column:
+        """``2 ** (-mean path / average path)``, in (0, 1).
+
+        With ``steps`` the column holds windows of that length, summarised here.
+        """
         trees = self.nodes["tree"].nunique()
         width = int(self.nodes["node"].max()) + 1
         feature = np.full((trees, width), -1, dtype=np.int64)
@@ -147,7 +152,12 @@ class Forest:
         def score(column: pa.Array) -> pa.Array:
             kinds, cuts, lefts, rights, depths = shared.value
             n = len(column)
-            x = column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else None
+            if n and steps:
+                flat = column.flatten().flatten().to_numpy(zero_copy_only=False)
+                windows = flat.reshape(n, steps, -1)
+                x = np.hstack([windows.mean(axis=1), windows.std(axis=1)])
+            elif n:
+                x = column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
             total = np.zeros(n)
             rows = np.arange(n)
             for t in range(len(kinds)):
@@ -164,9 +174,9 @@ class Forest:
 
         return score(features)
 
-    def score(self, spark: SparkSession, features: Column) -> Column:
+    def score(self, spark: SparkSession, features: Column, steps: int | None = None) -> Column:
         """Raw score over the range of the fit set; a new extreme may leave [0, 1]."""
-        return self.in_range(self.raw_score(spark, features))
+        return self.in_range(self.raw_score(spark, features, steps))
 
     def in_range(self, raw: Column) -> Column:
         if self.low is None or self.high is None:

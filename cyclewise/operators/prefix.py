@@ -3,8 +3,9 @@
 Values are aggregated first, so one value held by many rows is one entry. Cut
 points from approximate quantiles spread the distinct values over buckets; each
 bucket is summed on its own and shifted by the total of the buckets before it.
-Only the table of bucket totals, at most ``buckets`` rows per group, is ever
-ordered as a whole.
+Only the table of bucket totals, at most ``MAX_BUCKETS`` rows per group, is ever
+ordered as a whole. Without a given number there are as many buckets as shuffle
+partitions, so the work spreads over a cluster of any size.
 """
 
 from __future__ import annotations
@@ -16,21 +17,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
-BUCKETS = 64
-_RELATIVE_ERROR = 0.005
+MIN_BUCKETS = 64
+MAX_BUCKETS = 4096
 
 
-def cut_points(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> list[list[float]]:
-    """Bucket borders per column; a fixed number, whatever the size of the data."""
+def bucket_count(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, partitions))
+
+
+def cut_points(
+    df: DataFrame, columns: list[str], buckets: int | None = None
+) -> list[list[float]]:
+    """Bucket borders per column; their number is bounded, whatever the size of the data."""
+    buckets = buckets or bucket_count(df)
     steps = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(columns, steps, _RELATIVE_ERROR)
+    found = df.approxQuantile(columns, steps, 1 / (2 * buckets))
     return [
         [-math.inf, *sorted({q for q in quantiles if math.isfinite(q)} or {0.0}), math.inf]
         for quantiles in found
     ]
 
 
-def with_buckets(df: DataFrame, columns: list[str], out: list[str], buckets: int) -> DataFrame:
+def with_buckets(
+    df: DataFrame, columns: list[str], out: list[str], buckets: int | None = None
+) -> DataFrame:
     """Add the bucket of each column; borders only balance the work, never the result."""
     known = [df.schema[c].dataType.simpleString() for c in columns]
     if set(known) != {"double"}:
@@ -69,7 +80,7 @@ def running_totals(
 
 
 def value_counts(
-    df: DataFrame, value: str, amounts: dict[str, Column], buckets: int = BUCKETS
+    df: DataFrame, value: str, amounts: dict[str, Column], buckets: int | None = None
 ) -> DataFrame:
     """One row per distinct value with its amounts and bucket."""
     counted = df.groupBy(value).agg(*[c.cast("long").alias(n) for n, c in amounts.items()])
@@ -82,7 +93,7 @@ def value_counts(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: list[float], buckets: int = BUCKETS
+    df: DataFrame, value: str, probabilities: list[float], buckets: int | None = None
 ) -> list[float]:
     """Quantiles with linear interpolation, without ordering all values anywhere.
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.constants import FORECAST_HORIZON, WINDOW_SIZE
-from cyclewise.functions.arrays import summary_vector
 from cyclewise.functions.contracts import request_reasons, split_valid
 from cyclewise.functions.decisions import confidence, is_above
 from cyclewise.operators.models.forecast import naive_error
@@ -67,8 +66,9 @@ def score(df: DataFrame, detector: Detector) -> DataFrame:
     """Add ``anomaly_score`` to rows with a scaled ``window``."""
     spark, window = df.sparkSession, F.col("window")
     if detector.model_type == "isolation_forest":
-        vector = summary_vector(window, len(detector.features))
-        return df.withColumn("anomaly_score", detector.model.score(spark, vector))
+        return df.withColumn(
+            "anomaly_score", detector.model.score(spark, window, detector.length)
+        )
     if detector.model_type == "reconstruction":
         flat = df.withColumn("_flat", F.flatten(window))
         return reconstruction_error(flat, detector.model, "_flat", "anomaly_score").drop("_flat")

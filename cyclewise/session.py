@@ -47,9 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
     as in tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if current is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     fallback = tempfile.mkdtemp(prefix="cyclewise-")
