@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from cyclewise.plans.registry import (
     rounded_all,
     with_,
 )
+from cyclewise.session import shared_dir
+from cyclewise.sources.stores import load_scaler, save_scaler
 
 P2 = list(fixtures.SUPPLIER_SENSORS)
 _DIGITS = {"sensor_2": 4, "sensor_3": 2, "sensor_4": 6, "sensor_7": 6}
@@ -40,28 +44,28 @@ def _rolling_sql(sensors, sizes=ROLLING_SIZES):
     return ", ".join(out)
 
 
-_ROLLED_NAMES = [
+ROLLED_NAMES = [
     rolling_name("sensor_2", stat, size) for size in ROLLING_SIZES for stat in ROLLING_STATS
 ]
-_ROLLED = f"rolled AS (SELECT *, {_rolling_sql(['sensor_2'])} FROM user_panel)"
-_FEATURES = ["sensor_2", *_ROLLED_NAMES]
+ROLLED_SQL = f"rolled AS (SELECT *, {_rolling_sql(['sensor_2'])} FROM user_panel)"
+_FEATURES = ["sensor_2", *ROLLED_NAMES]
 
 
-def _round_list(names, digits=6):
+def round_list(names, digits=6):
     return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in names)
 
 
 @query(
     with_(
         USER_PANEL,
-        _ROLLED,
-        select=f"SELECT unit_id, time_cycles, {_round_list(_ROLLED_NAMES)} FROM rolled",
+        ROLLED_SQL,
+        select=f"SELECT unit_id, time_cycles, {round_list(ROLLED_NAMES)} FROM rolled",
     )
 )
 def rolling_features(spark, sf_dir):
     rows, layout = fixtures.user_readings(spark, sf_dir)
     rolled = features.add_rolling_features(rows, ["sensor_2"], position=CYCLE, layout=layout)
-    return rounded_all(rolled.select(UNIT, CYCLE, *_ROLLED_NAMES))
+    return rounded_all(rolled.select(UNIT, CYCLE, *ROLLED_NAMES))
 
 
 _GAP_NAMES = [rolling_name(c, s, 5) for s in ROLLING_STATS for c in ("sensor_4", "sensor_7")]
@@ -75,7 +79,7 @@ _GAP_NAMES = [rolling_name(c, s, 5) for s in ROLLING_STATS for c in ("sensor_4",
              CASE WHEN sensor_7 <> 0 THEN sensor_7 END AS sensor_7 FROM supplier_panel)""",
         f"rolled AS (SELECT *, {_rolling_sql(['sensor_4', 'sensor_7'], [5])} FROM gapped)",
         select=f"""SELECT unit_id, time_cycles, coalesce(sensor_4, 0.0) AS sensor_4,
-        coalesce(sensor_7, 0.0) AS sensor_7, {_round_list(_GAP_NAMES)} FROM rolled""",
+        coalesce(sensor_7, 0.0) AS sensor_7, {round_list(_GAP_NAMES)} FROM rolled""",
     )
 )
 def rolling_with_missing(spark, sf_dir):
@@ -283,7 +287,7 @@ _SCALE_SQL = (
 @query(
     with_(
         USER_PANEL,
-        _ROLLED,
+        ROLLED_SQL,
         _SCALE_SQL,
         select="SELECT unit_id, count(*) AS n_rows, round(avg(is_anomaly), 6) + 0.0 "
         "AS anomaly_rate, "
@@ -306,7 +310,7 @@ def flagship_features(spark, sf_dir):
 @query(
     with_(
         USER_PANEL,
-        _ROLLED,
+        ROLLED_SQL,
         _SCALE_SQL,
         "w AS (SELECT unit_id, time_cycles, is_anomaly AS label, count(*) OVER f AS n_steps, "
         + ", ".join(f"sum({c}) OVER f AS {c}" for c in _FEATURES)
@@ -406,3 +410,27 @@ def normal_windows(spark, sf_dir):
     rows, layout = fixtures.user_readings(spark, sf_dir)
     built = features.window_summary(rows, ["sensor_2"], position=CYCLE, layout=layout)
     return built.filter("label = 0").groupBy(UNIT).agg(F.count(F.lit(1)).alias("n_normal"))
+
+
+@query(
+    with_(
+        SUPPLIER_PANEL,
+        "fitted AS (SELECT min(sensor_3) AS lo, max(sensor_3) AS hi, avg(sensor_2) AS mu, "
+        "stddev_samp(sensor_2) AS sd FROM supplier_panel)",
+        select="""SELECT unit_id, time_cycles, round((sensor_3 - lo) / (hi - lo), 6) + 0.0 AS scaled,
+        round((sensor_2 - mu) / sd, 6) + 0.0 AS standardised FROM supplier_panel, fitted""",
+    )
+)
+def scaler_store(spark, sf_dir):
+    """Two scalers fitted, written as documents, read back and applied."""
+    rows = fixtures.supplier_panel(spark, sf_dir)[0]
+    base = f"{shared_dir(spark)}/scalers-{uuid.uuid4().hex}"
+    save_scaler(spark, scalers.fit_scaler(rows, "min_max", ["sensor_3"]), f"{base}/a")
+    save_scaler(spark, scalers.fit_scaler(rows, "standard", ["sensor_2"]), f"{base}/b")
+    low_high, mean_std = load_scaler(spark, f"{base}/a"), load_scaler(spark, f"{base}/b")
+    return rows.select(
+        UNIT,
+        CYCLE,
+        rounded(low_high.expression(F.col("sensor_3"), "sensor_3")).alias("scaled"),
+        rounded(mean_std.expression(F.col("sensor_2"), "sensor_2")).alias("standardised"),
+    )

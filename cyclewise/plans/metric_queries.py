@@ -38,7 +38,7 @@ area AS (SELECT sum(p * (n_upto - n + n / 2)) / any_value(p_total) / any_value(n
          FROM ranked)
 """
 
-_SWEEP = """
+SWEEP_SQL = """
 steps AS (SELECT CAST(i AS INTEGER) AS step, 0.01::DOUBLE + i * (0.99::DOUBLE / 99) AS threshold
           FROM range(100) t(i)),
 swept AS (SELECT step, threshold, count(*) FILTER (WHERE label = 1 AND score > threshold) AS tp,
@@ -99,7 +99,7 @@ def roc_points(spark, sf_dir):
     with_(
         SCORES,
         _RANKED,
-        _SWEEP,
+        SWEEP_SQL,
         select="""SELECT round(threshold, 6) + 0.0 AS threshold, round(f1, 6) + 0.0 AS f1,
         round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall,
         round((SELECT auc_roc FROM area), 6) + 0.0 AS auc_roc FROM sweep
@@ -113,7 +113,7 @@ def threshold_search(spark, sf_dir):
 @query(
     with_(
         SCORES,
-        _SWEEP,
+        SWEEP_SQL,
         select="""SELECT step, round(threshold, 6) + 0.0 AS threshold, round(f1, 6) + 0.0 AS f1,
         round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall,
         step = first_value(step) OVER (ORDER BY f1 DESC, step) AS is_best FROM sweep""",

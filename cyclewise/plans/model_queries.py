@@ -14,7 +14,7 @@ from cyclewise.operators.models.forecast import fit_ridge, naive_error
 from cyclewise.operators.models.forest import fit_and_score
 from cyclewise.operators.models.reconstruction import fit_reconstruction, reconstruction_error
 from cyclewise.operators.scoring import Detector, anomalies_only, decide, detect
-from cyclewise.plans import fixtures
+from cyclewise.plans import fixtures, training
 from cyclewise.plans.registry import (
     READINGS,
     SUPPLIER_PANEL,
@@ -24,7 +24,9 @@ from cyclewise.plans.registry import (
     rounded_all,
     with_,
 )
-from cyclewise.plans.feature_queries import _ROLLED, _ROLLED_NAMES, _round_list
+from cyclewise.plans.feature_queries import ROLLED_SQL, ROLLED_NAMES, round_list
+from cyclewise.plans.metric_queries import SWEEP_SQL
+from cyclewise.plans.panel_queries import SPLIT_SQL
 from cyclewise.session import settle, shared_dir
 from cyclewise.sources.stores import read_events, write_event_batch
 from cyclewise.sources.tables import read_table
@@ -131,6 +133,42 @@ def ridge_forecast(spark, sf_dir):
     )
 
 
+@query(
+    with_(
+        USER_PANEL,
+        SPLIT_SQL,
+        """tagged AS (SELECT u.unit_id, time_cycles, is_anomaly, split, sensor_2
+             FROM user_panel u JOIN unit_split s ON u.unit_id = s.unit_id),
+           fitted AS (SELECT min(sensor_2) AS lo, max(sensor_2) AS hi FROM tagged
+             WHERE split = 'train'),
+           scaled AS (SELECT unit_id, time_cycles, is_anomaly, split,
+             (sensor_2 - lo) / (hi - lo) AS v FROM tagged, fitted)""",
+        f"""scored AS (SELECT unit_id, time_cycles, split, is_anomaly AS label,
+             {_naive_sql('v')} AS score FROM scaled WINDOW u AS {_LAGS}),
+           scores AS (SELECT score, label FROM scored WHERE split = 'val' AND time_cycles >= 30)""",
+        SWEEP_SQL,
+        """best AS (SELECT threshold, f1 FROM sweep WHERE tp + fp > 0 AND tp + fp < n
+             ORDER BY f1 DESC, step LIMIT 1),
+           tested AS (SELECT count(*) FILTER (WHERE label = 1 AND score > threshold) AS tp,
+             count(*) FILTER (WHERE label = 0 AND score > threshold) AS fp,
+             count(*) FILTER (WHERE label = 1 AND score <= threshold) AS fn
+             FROM scored, best WHERE split = 'test' AND time_cycles >= 30)""",
+        select="""SELECT round(threshold, 6) + 0.0 AS threshold, round(f1, 6) + 0.0 AS val_f1,
+        round(2.0 * tp / (2 * tp + fp + fn), 6) + 0.0 AS test_f1,
+        round(tp / (tp + fp), 6) + 0.0 AS test_precision,
+        round(tp / (tp + fn), 6) + 0.0 AS test_recall FROM best, tested""",
+    )
+)
+def model_selection(spark, sf_dir):
+    """Split by unit, scale on train, threshold on validation, metrics on test."""
+    rows, layout = fixtures.user_readings(spark, sf_dir)
+    prepared = training.prepare(rows, position=CYCLE, layout=layout)
+    _, reported = training.train_and_select(prepared, "naive_forecast")
+    names = ["threshold", "val_f1", "test_f1", "test_precision", "test_recall"]
+    one = spark.range(1)
+    return one.select(*[rounded(F.lit(reported[n])).alias(n) for n in names])
+
+
 _STORED = """
 stored AS (SELECT sensor_id, ts, anomaly_score, least(1.0, abs(anomaly_score - 0.2) / 0.2)
              AS confidence FROM readings WHERE anomaly_score > 0.2)
@@ -177,9 +215,9 @@ def _event_stream(spark, sf_dir):
 @query(
     with_(
         USER_PANEL,
-        _ROLLED,
+        ROLLED_SQL,
         select=f"""SELECT unit_id, time_cycles, event_id, time_cycles >= 30 AS has_window,
-        {_round_list(_ROLLED_NAMES)} FROM rolled""",
+        {round_list(ROLLED_NAMES)} FROM rolled""",
     )
 )
 def stream_windows(spark, sf_dir):
@@ -194,7 +232,7 @@ def stream_windows(spark, sf_dir):
             CYCLE,
             F.col("tie").alias("event_id"),
             F.col("window").isNotNull().alias("has_window"),
-            *_ROLLED_NAMES,
+            *ROLLED_NAMES,
         )
     )
 

@@ -174,7 +174,7 @@ def test_panel_labels(spark, sf_dir):
     return panel.label_test_panel(rows, lives, layout=layout)
 
 
-_SPLIT = """
+SPLIT_SQL = """
 units AS (SELECT DISTINCT user_id AS unit_id FROM events),
 ranked AS (SELECT unit_id, row_number() OVER (ORDER BY md5(unit_id || ':42')) AS r,
                   count(*) OVER () AS n FROM units),
@@ -185,7 +185,7 @@ unit_split AS (SELECT unit_id, CASE WHEN r <= val_start THEN 'train'
 """
 
 
-@query(with_(_SPLIT, select="SELECT unit_id, split FROM unit_split"))
+@query(with_(SPLIT_SQL, select="SELECT unit_id, split FROM unit_split"))
 def unit_split(spark, sf_dir):
     events = read_table(spark, sf_dir, "events").withColumnRenamed("user_id", UNIT)
     return split.unit_split(events)
@@ -193,7 +193,7 @@ def unit_split(spark, sf_dir):
 
 @query(
     with_(
-        _SPLIT,
+        SPLIT_SQL,
         select="""SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_units,
         round(sum(value), 2) + 0.0 AS sum_value
         FROM events JOIN unit_split ON user_id = unit_id GROUP BY split""",
@@ -217,7 +217,7 @@ def split_rows(spark, sf_dir):
 
 @query(
     with_(
-        _SPLIT,
+        SPLIT_SQL,
         select="""SELECT 'train_test' AS pair, count(*) AS shared FROM (
           SELECT unit_id FROM unit_split WHERE split = 'train' INTERSECT
           SELECT unit_id FROM unit_split WHERE split = 'test') a
@@ -249,3 +249,15 @@ def value_set_ops(spark, sf_dir):
             sized("all_minus_splits", events.select(UNIT).subtract(units.select(UNIT)))
         )
     )
+
+
+@query(
+    with_(
+        USER_PANEL,
+        select="""SELECT unit_id, time_cycles, sensor_2, rul FROM user_panel
+        ORDER BY unit_id, time_cycles LIMIT 5""",
+    )
+)
+def panel_preview(spark, sf_dir):
+    rows = fixtures.user_panel(spark, sf_dir)[0]
+    return rows.select(UNIT, CYCLE, "sensor_2", "rul").orderBy(UNIT, CYCLE).limit(5)

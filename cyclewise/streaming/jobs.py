@@ -80,12 +80,8 @@ def start(
     )
 
 
-def to_parquet(path: str, mode: str = "append") -> Callable[[DataFrame, int], None]:
-    """Idempotent batch writer.
-
-    Append mode writes one folder per batch. Complete and update mode replace or add
-    a whole folder per batch too; readers of complete mode take the last one.
-    """
+def to_parquet(path: str) -> Callable[[DataFrame, int], None]:
+    """Idempotent writer of one folder per batch; a repeated batch replaces its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -96,12 +92,11 @@ def to_parquet(path: str, mode: str = "append") -> Callable[[DataFrame, int], No
 def drain(df: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all available input and return what it wrote.
 
-    In complete mode that is the last batch, in update mode the last row per engine
-    is left to the reader.
+    In complete mode that is the last batch only, as it holds the whole result.
     """
     spark = df.sparkSession
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    start(df, to_parquet(f"{base}/out", mode), f"{base}/state", mode).awaitTermination()
+    start(df, to_parquet(f"{base}/out"), f"{base}/state", mode).awaitTermination()
     out = (
         spark.read.schema(f"{_ddl(df)}, batch_id int")
         .option("basePath", f"{base}/out")
