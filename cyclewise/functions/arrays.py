@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.constants import PATCH_LENGTH, PATCH_STRIDE
 
 
+def keep_where(df: DataFrame, condition: Column, column: str = "window") -> DataFrame:
+    """Keep the rows that meet the condition, and hand ``column`` on through a generator.
+
+    Spark may merge a plain filter with later ones and then evaluate a model on rows the
+    filter was to keep away from it, such as ragged or short windows. Expressions over a
+    generated column cannot move below the generator.
+    """
+    return df.withColumn(column, F.explode(F.when(condition, F.array(column))))
+
+
 def mean_squared_error(x: Column, y: Column) -> Column:
     """Mean over all steps and features of the squared difference."""
     squares = F.zip_with(F.flatten(x), F.flatten(y), lambda a, b: (a - b) * (a - b))

@@ -18,6 +18,7 @@ from cyclewise.constants import (
     UNIT,
     WINDOW_SIZE,
 )
+from cyclewise.functions.arrays import keep_where
 from cyclewise.operators.scalers import Scaler, feature_columns, transform_features
 from cyclewise.operators.unit_order import (
     SPLIT,
@@ -109,7 +110,7 @@ def sliding_windows(
     frame, place = _with_position(df, position, layout)
     chunked = open_chunks(frame, size - 1, place, layout)
     built = chunked.withColumn("window", window_array(columns, chunk_window(place, layout), size))
-    full = close_chunks(built).filter(F.col(place) >= size)
+    full = close_chunks(keep_where(built, F.col(place) >= size))
     return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], "window")
 
 
@@ -179,6 +180,6 @@ def build_features(
     scaled = transform_features(rolled.fillna(0.0, subset=features), scaler, features)
     label = ["is_anomaly"] if "is_anomaly" in df.columns else []
     built = scaled.withColumn("window", window_array(features, over, size))
-    full = close_chunks(built).filter(F.col(place) >= size)
+    full = close_chunks(keep_where(built, F.col(place) >= size))
     return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], "window")
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.constants import FORECAST_HORIZON, WINDOW_SIZE
-from cyclewise.functions.contracts import request_reasons, split_valid
+from cyclewise.functions.arrays import keep_where
+from cyclewise.functions.contracts import REASONS, request_reasons
 from cyclewise.functions.decisions import confidence, is_above
 from cyclewise.operators.models.forecast import naive_error
 from cyclewise.operators.models.reconstruction import reconstruction_error
@@ -112,8 +113,9 @@ def detect_requests(df: DataFrame, detector: Detector) -> tuple[DataFrame, DataF
         F.lit(False),
     )
     why = F.when((F.size(why) == 0) & ~shaped, F.array(F.lit("window shape"))).otherwise(why)
-    good, bad = split_valid(df, why)
-    return detect(good, detector), bad
+    checked = df.withColumn(REASONS, why)
+    good = keep_where(checked, F.size(REASONS) == 0).drop(REASONS)
+    return detect(good, detector), checked.filter(F.size(REASONS) > 0)
 
 
 def anomalies_only(df: DataFrame) -> DataFrame:

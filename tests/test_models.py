@@ -212,3 +212,19 @@ def test_forest_scores_from_rows_equal_scores_from_windows(spark, prepared):
     assert a.keys() == b.keys() and len(a) == 2 * 31
     # copies of a unit differ by rounding only, so single trees may part them by noise
     assert np.mean([abs(a[k] - b[k]) for k in a]) < 0.02
+
+
+@pytest.mark.parametrize("name", ["isolation_forest", "reconstruction", "forecast"])
+def test_filters_on_results_do_not_reach_bad_windows(spark, prepared, name):
+    """Short, ragged and empty windows never meet the model, whatever is filtered later."""
+    options = {"trees": 5} if name == "isolation_forest" else {}
+    detector = training.fit_detector(prepared, name, **options)
+    n = len(detector.features)
+    short = prepared.windows("test", detector.features)
+    assert scoring.score(short, detector).filter("anomaly_score >= 0").count() <= 3 * 31
+    rows = [("a", [[0.5] * n] * 20), ("b", [[0.5] * n] * 7), ("c", [[0.5] * n, [0.5]]), ("d", [])]
+    df = spark.createDataFrame(rows, "sensor_id string, window array<array<double>>")
+    good, bad = detect_requests(df.withColumn("timestamp", F.current_timestamp()), detector)
+    kept = good.filter("anomaly_score > -100 AND confidence >= 0").collect()
+    assert [r["sensor_id"] for r in kept] == ["a"]
+    assert bad.filter("sensor_id <> 'x'").count() == 3
