@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,10 +42,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see: the cluster's checkpoint folder, else a local one.
+    """Folder that the driver and all executors see, from ``spark.checkpoint.dir``.
 
-    The local fallback is only reached where ``spark.checkpoint.dir`` is unset,
-    as in tests.
+    Where that is unset, a session whose executors all live in this process gets a
+    temporary folder; a cluster session without a shared folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -54,9 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
-    fallback = tempfile.mkdtemp(prefix="cyclewise-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="cyclewise-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from cyclewise.plans.catalog import QUERIES as OWN
 from tests.compare import compare, duck
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in OWN}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
