@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import license_rules, mixing
+from cyclewise.llm import license_rules, mixing, prefix_hash, warc
 from cyclewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,15 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op9_source_mix"] = mixing.mix_sql()
+
+
+@_register
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page as WARC and read the records back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@_register
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix-hash fingerprints of every text and of its edited text."""
+    return prefix_hash.fingerprints(table(spark, sf_dir, "documents"))
