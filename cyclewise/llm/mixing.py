@@ -42,6 +42,8 @@ DOMAINS = 4
 #: Hex digits of the order key (60 bits) and rows aimed at in one range of keys.
 KEY_DIGITS = 15
 RANGE_ROWS = 20_000
+#: A plan of at most so many leaves (about 100 bytes each) is sent to every task.
+SMALL_PLAN = 50_000
 #: Non-blank runs count as tokens.
 TOKEN = r"[^ \t\n\r]+"
 
@@ -144,9 +146,10 @@ def plan_mix(
         "mix-leaves",
     )
     largest = leaves.agg(F.max("docs")).first()[0] or 0
+    small = leaves.count() <= SMALL_PLAN
     shift = 4 * KEY_DIGITS - max(4, min(20, (largest // RANGE_ROWS).bit_length()))
     part = leaves.filter("rest > 0").select(*LEVELS, "whole_epochs", "rest")
-    keyed = rows.join(part, LEVELS).select(
+    keyed = rows.join(F.broadcast(part) if small else part, LEVELS).select(
         *LEVELS, "n_tokens", "rest", order_key(F.col("doc_id"), F.col("whole_epochs"), seed).alias("key")
     )
     keyed = keyed.withColumn("key_range", F.shiftright("key", shift))
@@ -168,16 +171,21 @@ def plan_mix(
     cutoffs = last.join(inside, LEVELS).select(
         *LEVELS, F.coalesce("inside", F.shiftleft("key_range", shift) - 1).alias("cutoff")
     )
-    return leaves.join(cutoffs, LEVELS, "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(-1)))
+    plan = leaves.join(cutoffs, LEVELS, "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(-1)))
+    return F.broadcast(plan) if small else plan
 
 
 def take_mix(rows: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
     """Rows the plan selects, once per ``epoch``; ``rows`` has ``doc_id`` and the tree columns."""
-    chosen = rows.join(plan.select(*LEVELS, "whole_epochs", "cutoff"), LEVELS)
-    extra = order_key(F.col("doc_id"), F.col("whole_epochs"), seed) <= F.col("cutoff")
-    chosen = chosen.withColumn("copies", F.col("whole_epochs") + extra.cast("long")).filter("copies > 0")
-    chosen = chosen.withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
-    return chosen.drop("whole_epochs", "cutoff", "copies")
+    kept = [c for c in rows.columns if c != "epoch"]
+    leaf = plan.select(
+        *LEVELS, F.col("whole_epochs").alias("_mix_whole"), F.col("cutoff").alias("_mix_cutoff")
+    )
+    chosen = rows.select(*kept).join(leaf, LEVELS)
+    extra = order_key(F.col("doc_id"), F.col("_mix_whole"), seed) <= F.col("_mix_cutoff")
+    chosen = chosen.withColumn("_mix_copies", (F.col("_mix_whole") + extra.cast("long")).cast("int"))
+    chosen = chosen.filter("_mix_copies > 0")
+    return chosen.select(*kept, F.explode(F.sequence(F.lit(0), F.col("_mix_copies") - 1)).alias("epoch"))
 
 
 def counted(docs: DataFrame) -> DataFrame:

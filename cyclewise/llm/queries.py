@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import license_rules, mixing, prefix_hash, warc
+from cyclewise.llm import langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
 from cyclewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,21 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix-hash fingerprints of every text and of its edited text."""
     return prefix_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
+@_register
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and language spans of every text."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    return rule_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
