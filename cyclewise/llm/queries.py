@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import decontaminate, langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
+from cyclewise.llm import dart_minhash, decontaminate, langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
 from cyclewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, one row per document and item."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return dart_minhash.groups(table(spark, sf_dir, "documents"))
