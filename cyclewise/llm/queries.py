@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import dart_minhash, decontaminate, langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
+from cyclewise.llm import chunk_dedup, dart_minhash, decontaminate, langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
 from cyclewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,10 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document."""
     return dart_minhash.groups(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunk_dedup.dedup(docs).withColumn("n_chars", F.length("text"))
