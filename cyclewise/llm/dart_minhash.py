@@ -263,3 +263,19 @@ def groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     classes = named.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))
     rest = rows.filter("doc_id IS NULL OR text IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return classes.unionByName(rest)
+
+
+def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Rows of ``docs`` with the smallest id of their group; rows of no group stay.
+
+    Of repeated rows with that id one stays.
+    """
+    classes = groups(docs, least)
+    known = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    gone = classes.filter("doc_id != class_id").select("doc_id").distinct()
+    kept = known.join(gone, "doc_id", "left_anti")
+    again = stored(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "again")
+    if not again.isEmpty():
+        once = kept.join(again, "doc_id").select(docs.columns).dropDuplicates(["doc_id"])
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(once)
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL OR text IS NULL"))

@@ -301,3 +301,27 @@ def find_leaks(
         one = ask(index)
         found = one if found is None else found.unionByName(one)
     return found
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP
+) -> DataFrame:
+    """Rows of ``docs`` that hold no benchmark item, without a shuffle."""
+    spark = prepare(docs.sparkSession)
+
+    def asked(index: Index):
+        shared = spark.sparkContext.broadcast(index)
+
+        def run(text: pd.Series) -> pd.Series:
+            texts = [t or "" for t in text]
+            found = np.zeros(len(texts), bool)
+            for lo, hi in slices([len(t) for t in texts]):
+                for hit in match(shared.value, texts[lo:hi], threshold, least):
+                    found[lo + hit[0]] = True
+            return pd.Series(found)
+
+        return F.pandas_udf(run, "boolean")
+
+    for index in indexes_of(benchmark):
+        docs = docs.filter(~asked(index)("text"))
+    return docs

@@ -23,12 +23,12 @@ read, and the language column while learning.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclewise.llm.common import fold_of, prepare, slices
@@ -58,10 +58,7 @@ SCRIPT_STARTS = [
 ]
 SCRIPTS = list(dict.fromkeys(name for _, name in SCRIPT_STARTS))
 
-SCHEMA = (
-    "doc_id long, held_out boolean, lang_pred string, score double, "
-    "spans array<struct<begin:int,end:int,lang:string>>"
-)
+LABEL_TYPE = "struct<lang:string,score:double,spans:array<struct<begin:int,end:int,lang:string>>>"
 
 
 @lru_cache(maxsize=1)
@@ -230,29 +227,34 @@ def learned_rows(docs: DataFrame) -> DataFrame:
     return docs.filter(F.coalesce(fold_of("doc_id", FOLDS) != HELD_OUT, F.lit(True)))
 
 
+def labeller(spark: SparkSession, model: LanguageModel) -> Callable[[Column], Column]:
+    """Column function: text to ``struct<lang, score, spans>``; the model goes out as a broadcast."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(text: pd.Series) -> pd.DataFrame:
+        texts = [t or "" for t in text]
+        out = []
+        for lo, hi in slices([len(t) for t in texts]):
+            if shared.value.langs:
+                out += shared.value.label(texts[lo:hi])
+            else:
+                out += [(UNKNOWN, 0.0, [])] * (hi - lo)
+        spans = [[{"begin": b, "end": e, "lang": x} for b, e, x in o[2]] for o in out]
+        return pd.DataFrame({"lang": [o[0] for o in out], "score": [o[1] for o in out], "spans": spans})
+
+    return F.pandas_udf(run, LABEL_TYPE)
+
+
 def label(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, spans`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = list(frame["text"])
-            out = []
-            for lo, hi in slices([len(t) for t in texts]):
-                if shared.value.langs:
-                    out += shared.value.label(texts[lo:hi])
-                else:
-                    out += [(UNKNOWN, 0.0, [])] * (hi - lo)
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"], "held_out": frame["held_out"],
-                    "lang_pred": [o[0] for o in out], "score": [o[1] for o in out],
-                    "spans": [[{"begin": b, "end": e, "lang": x} for b, e, x in o[2]] for o in out],
-                }
-            )
-
-    held_out = F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
-    return docs.select("doc_id", held_out, F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, SCHEMA)
+    named = docs.select("doc_id", "text").withColumn("found", labeller(docs.sparkSession, model)("text"))
+    return named.select(
+        "doc_id",
+        F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.spans").alias("spans"),
+    )
 
 
 def identify(docs: DataFrame) -> DataFrame:
