@@ -228,7 +228,10 @@ def learned_rows(docs: DataFrame) -> DataFrame:
 
 
 def labeller(spark: SparkSession, model: LanguageModel) -> Callable[[Column], Column]:
-    """Column function: text to ``struct<lang, score, spans>``; the model goes out as a broadcast."""
+    """Column function: text to ``struct<lang, score, spans>``; the model goes out as a broadcast.
+
+    Marked nondeterministic so that a filter on the result does not evaluate it again.
+    """
     shared = spark.sparkContext.broadcast(model)
 
     def run(text: pd.Series) -> pd.DataFrame:
@@ -242,7 +245,7 @@ def labeller(spark: SparkSession, model: LanguageModel) -> Callable[[Column], Co
         spans = [[{"begin": b, "end": e, "lang": x} for b, e, x in o[2]] for o in out]
         return pd.DataFrame({"lang": [o[0] for o in out], "score": [o[1] for o in out], "spans": spans})
 
-    return F.pandas_udf(run, LABEL_TYPE)
+    return F.pandas_udf(run, LABEL_TYPE).asNondeterministic()
 
 
 def label(docs: DataFrame, model: LanguageModel) -> DataFrame:
