@@ -14,9 +14,6 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: samples up to this size are tested exactly.
-EXACT_ROWS = 10_000
-
 
 def exact_p_value(statistic: float, n1: int, n2: int) -> float:
     step1, step2 = n2 // math.gcd(n1, n2), n1 // math.gcd(n1, n2)
@@ -47,16 +44,12 @@ def exact_p_value(statistic: float, n1: int, n2: int) -> float:
 
 
 def exact_p_values(statistic: Column, n1: Column, n2: Column) -> Column:
-    """One value per feature row; NULL for larger samples."""
+    """One value per feature row."""
 
     @F.pandas_udf("double")
     def tested(d: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(
-            [
-                exact_p_value(x, int(p), int(q)) if max(p, q) <= EXACT_ROWS else None
-                for x, p, q in zip(d, a, b)
-            ],
-            dtype="float64",
+            [exact_p_value(x, int(p), int(q)) for x, p, q in zip(d, a, b)], dtype="float64"
         )
 
     return tested(statistic, n1, n2)

@@ -10,9 +10,8 @@ from cyclewise.functions.numeric import is_missing, kolmogorov_p_value
 from cyclewise.functions.small_sample import exact_p_values
 from cyclewise.operators.prefix import BUCKET, running_totals, with_buckets
 
-#: Choice of test of the preset report: up to this many reference rows the
-#: Kolmogorov-Smirnov test decides, above it the normalised distance.
-PRESET_SMALL_ROWS = 1000
+#: Preset report: a feature drifted from this normalised distance on, the data set from
+#: this share of its features on.
 PRESET_DISTANCE = 0.1
 PRESET_SHARE = 0.5
 
@@ -70,13 +69,13 @@ def ks_test(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int | None = None,
-    method: str = "auto",
+    method: str = "asymptotic",
 ) -> DataFrame:
     """Two-sample statistic and p-value per feature.
 
-    A feature without values on one side has no row. ``auto`` tests samples of up to
-    10 000 rows exactly and larger ones by the limit law; ``asymptotic`` always uses
-    the limit law.
+    A feature without values on one side has no row. ``asymptotic`` uses the limit law at
+    every size; ``exact`` counts the orders of the pooled sample, which takes a time of the
+    product of both sizes and is meant for samples the caller knows to be small.
     """
     columns = columns or common_columns(reference, current)
     return _p_values(
@@ -99,15 +98,10 @@ def _both_sided(grouped: GroupedData, *measures: Column) -> DataFrame:
 
 def _p_values(tested: DataFrame, method: str) -> DataFrame:
     facts = F.col("statistic"), F.col("n_reference"), F.col("n_current")
-    if method == "asymptotic":
-        return tested.withColumn("p_value", kolmogorov_p_value(*facts))
-    if method != "auto":
-        raise ValueError(f"Unknown method: {method}. Use 'auto' or 'asymptotic'.")
-    return (
-        tested.withColumn("_exact", exact_p_values(*facts))
-        .withColumn("p_value", F.coalesce("_exact", kolmogorov_p_value(*facts)))
-        .drop("_exact")
-    )
+    laws = {"asymptotic": kolmogorov_p_value, "exact": exact_p_values}
+    if method not in laws:
+        raise ValueError(f"p-value law {method!r} is none of {sorted(laws)}")
+    return tested.withColumn("p_value", laws[method](*facts))
 
 
 def compare(
@@ -115,7 +109,7 @@ def compare(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int | None = None,
-    method: str = "auto",
+    method: str = "asymptotic",
 ) -> DataFrame:
     """Test and distance per feature from one pass.
 
@@ -172,17 +166,22 @@ def wasserstein(
 
 
 def decide(
-    tested: DataFrame, num_features: int, drifted: Column, score: Column, share: Column
+    tested: DataFrame, num_features: int, drifted: Column, score: Column, share: Column, **also: str
 ) -> DataFrame:
-    """One-row decision from a table with one row per feature."""
-    named = F.struct(F.col("feature"), score.alias("value"))
+    """One-row decision from a table with one row per feature; ``also`` names further maps."""
+
+    def by_feature(value: Column) -> Column:
+        named = F.struct(F.col("feature"), value.alias("value"))
+        return F.map_from_entries(F.sort_array(F.collect_list(named)))
+
     return (
         tested.agg(
             F.count_if(drifted).alias("num_features_drifted"),
             F.sort_array(F.collect_list(F.when(drifted, F.col("feature")))).alias(
                 "drifted_features"
             ),
-            F.map_from_entries(F.sort_array(F.collect_list(named))).alias("drift_scores"),
+            by_feature(score).alias("drift_scores"),
+            *[by_feature(F.col(c)).alias(name) for name, c in also.items()],
         )
         .withColumn("num_features", F.lit(num_features))
         .withColumn("is_drifted", share)
@@ -192,6 +191,7 @@ def decide(
             "num_features_drifted",
             "drifted_features",
             "drift_scores",
+            *also,
         )
     )
 
@@ -203,7 +203,7 @@ def detect_drift(
     p_value: float = DRIFT_P_VALUE,
     share: float = DRIFT_SHARE,
     buckets: int | None = None,
-    method: str = "auto",
+    method: str = "asymptotic",
 ) -> DataFrame:
     """Dataset decision: more than ``share`` of the common features drifted.
 
@@ -224,19 +224,23 @@ def preset_report(
     current: DataFrame,
     columns: list[str] | None = None,
     buckets: int | None = None,
-    method: str = "auto",
+    test: str = "distance",
+    method: str = "asymptotic",
 ) -> DataFrame:
-    """Decision by the test that suits the size of the reference."""
+    """Decision by the named ``test``: ``distance`` (normed Wasserstein) or ``p_value``.
+
+    ``drift_scores`` holds the numbers that decide; ``p_values`` and ``normed_distances``
+    hold both, per feature.
+    """
     columns = columns or common_columns(reference, current)
     both = compare(reference, current, columns, buckets, method)
-    small = F.col("n_reference") <= PRESET_SMALL_ROWS
-    drifted = F.when(small, F.col("p_value") < DRIFT_P_VALUE).otherwise(
-        F.col("normed_distance") >= PRESET_DISTANCE
-    )
-    return decide(
-        both,
-        len(columns),
-        drifted,
-        F.when(small, F.col("p_value")).otherwise(F.col("normed_distance")),
-        F.col("num_features_drifted") >= F.lit(len(columns) * PRESET_SHARE),
-    )
+    tests = {
+        "distance": (F.col("normed_distance") >= PRESET_DISTANCE, F.col("normed_distance")),
+        "p_value": (F.col("p_value") < DRIFT_P_VALUE, F.col("p_value")),
+    }
+    if test not in tests:
+        raise ValueError(f"drift test {test!r} is none of {sorted(tests)}")
+    drifted, score = tests[test]
+    share = F.col("num_features_drifted") >= F.lit(len(columns) * PRESET_SHARE)
+    maps = {"p_values": "p_value", "normed_distances": "normed_distance"}
+    return decide(both, len(columns), drifted, score, share, **maps)

@@ -103,8 +103,12 @@ def test_decision(pair):
     row = drift.detect_drift(ref_df, cur_df).first()
     assert row["is_drifted"] and row["num_features"] == 3
     assert row["drifted_features"] == ["a"] and set(row["drift_scores"]) == {"a", "b", "c"}
-    preset = drift.preset_report(ref_df, cur_df).first()
+    preset = drift.preset_report(ref_df, cur_df, test="p_value").first()
     assert not preset["is_drifted"] and preset["num_features_drifted"] == 1
+    both = drift.preset_report(ref_df, cur_df).first()
+    assert both["drift_scores"] == both["normed_distances"] and both["p_values"] == preset["drift_scores"]
+    with pytest.raises(ValueError, match="drift test"):
+        drift.preset_report(ref_df, cur_df, test="other")
     same = drift.detect_drift(ref_df, ref_df).first()
     assert not same["is_drifted"] and same["drifted_features"] == []
 
@@ -156,9 +160,9 @@ def test_exact_meets_the_limit_law(spark):
 
 def test_method(pair):
     ref_df, cur_df, _, _ = pair
-    with pytest.raises(ValueError, match="Unknown method"):
+    with pytest.raises(ValueError, match="p-value law"):
         drift.ks_test(ref_df, cur_df, method="other")
-    exact = {r["feature"]: r["p_value"] for r in drift.ks_test(ref_df, cur_df).collect()}
-    limit = {r["feature"]: r["p_value"] for r in drift.ks_test(ref_df, cur_df, method="asymptotic").collect()}
+    exact = {r["feature"]: r["p_value"] for r in drift.ks_test(ref_df, cur_df, method="exact").collect()}
+    limit = {r["feature"]: r["p_value"] for r in drift.ks_test(ref_df, cur_df).collect()}
     assert exact["b"] == pytest.approx(limit["b"], rel=0.2)
     assert exact["c"] == 1.0
