@@ -83,11 +83,16 @@ def range_flags(df: DataFrame) -> DataFrame:
     )
 
 
+def _not_binary() -> Column:
+    """A label outside 0 and 1; a missing label is one."""
+    return ~F.coalesce(F.col("is_anomaly").isin(0, 1), F.lit(False))
+
+
 def label_flags(df: DataFrame) -> DataFrame:
     """One row: readings with a negative remaining life, and labels outside 0 and 1."""
     return df.agg(
         F.count_if(F.col("rul") < 0).alias("negative_rul"),
-        F.count_if(~F.col("is_anomaly").isin(0, 1)).alias("not_binary"),
+        F.count_if(_not_binary()).alias("not_binary"),
     )
 
 
@@ -139,7 +144,11 @@ def check_sample(df: DataFrame, n: int = 100, seed: int = SEED) -> DataFrame:
 
 
 def _facts(df: DataFrame) -> DataFrame:
-    """Everything the value checks and the statistics need, as one row."""
+    """Everything the value checks and the statistics need, as one row.
+
+    Value counters are one aggregate over all columns, without a shuffle of rows. Copies,
+    gaps and cycle ranges come from a second chain that reads the two key columns only.
+    """
     sensors = _sensors(df)
     labeled = "is_anomaly" in df.columns
     has_rul = "rul" in df.columns
@@ -152,28 +161,20 @@ def _facts(df: DataFrame) -> DataFrame:
     total["bad_rows"] = F.count_if(F.size(reading_reasons(df.columns)) > 0)
     if labeled:
         total["anomalies"] = F.sum(F.col("is_anomaly").cast("long"))
-        total["not_binary"] = F.count_if(~F.col("is_anomaly").isin(0, 1))
+        total["not_binary"] = F.count_if(_not_binary())
     if has_rul:
         total["negative_rul"] = F.count_if(F.col("rul") < 0)
-    keys = df.groupBy(UNIT, CYCLE).agg(
-        F.count(F.lit(1)).alias("copies"),
-        *[c.alias(n) for n, c in total.items()],
-        *[c.alias(n) for n, c in biggest.items()],
-    )
-    def carried() -> list[Column]:
-        return [F.sum(f"`{n}`").alias(n) for n in total] + [
-            F.max(f"`{n}`").alias(n) for n in biggest
-        ]
+    values = df.agg(*[c.alias(n) for n, c in {**total, **biggest}.items()])
+    keys = df.groupBy(UNIT, CYCLE).agg(F.count(F.lit(1)).alias("copies"))
     units = keys.groupBy(UNIT).agg(
         F.sum("copies").alias("n_rows"),
         F.count(F.lit(1)).alias("n_keys"),
         F.sum(F.when(F.col("copies") > 1, F.col("copies")).otherwise(0)).alias("in_duplicates"),
         F.min(CYCLE).alias("first_cycle"),
         F.max(CYCLE).alias("last_cycle"),
-        *carried(),
     )
     gap = F.col("n_rows") != F.col("last_cycle") - F.col("first_cycle") + 1
-    return units.agg(
+    ranges = units.agg(
         F.sum("n_rows").alias("total_rows"),
         F.count(UNIT).alias("num_units"),
         F.sum("n_keys").alias("n_keys"),
@@ -184,8 +185,9 @@ def _facts(df: DataFrame) -> DataFrame:
         F.min("last_cycle").alias("min_cycles_per_unit"),
         F.max("last_cycle").alias("max_cycles_per_unit"),
         F.avg("last_cycle").alias("avg_cycles_per_unit"),
-        *carried(),
     )
+    one = F.lit(1).alias("_one")  # both sides are a single row
+    return ranges.select("*", one).join(values.select("*", one), "_one").drop("_one")
 
 
 def _null_total(df: DataFrame) -> Column:
