@@ -1,8 +1,8 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) over window summaries.
 
-The rows enter the fit through a hash sample of bounded size, so they are neither
-multiplied by the number of trees nor gathered. Each tree grows in its own task
-from at most ``sample_size`` rows. The node table has at most
+Every tree draws its own sample from all rows by hash, so rows are neither multiplied
+by the number of trees nor gathered. Each tree grows in its own task from at most
+``sample_size`` rows. The node table has at most
 ``trees * 2 * sample_size`` rows and is what scoring broadcasts.
 """
 
@@ -22,8 +22,6 @@ from cyclewise.functions.numeric import ratio
 from cyclewise.session import settle
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
-#: Rows the trees draw from; a multiple of the sample so that trees differ.
-POOL_SAMPLES = 64
 _SCALE = 1 << 53
 
 
@@ -44,22 +42,28 @@ def _fraction(*parts: Column) -> Column:
 def _tree_samples(
     df: DataFrame, keys: list[str], trees: int, sample_size: int, seed: int
 ) -> DataFrame:
-    """Per tree the ``sample_size`` rows with the smallest hash, without replacement."""
+    """Per tree ``sample_size`` rows without replacement, drawn from all rows.
+
+    Every row offers itself to every tree with a probability of twice the sample over the
+    rows. The first tree that takes a row follows from one hash, by a geometric gap; only
+    rows that some tree takes test the trees behind it. So about twice the samples are
+    exploded and shuffled, whatever the number of rows.
+    """
     rows = df.count()
-    pool_size = sample_size * POOL_SAMPLES
-    own = _fraction(*keys, F.lit(seed))
-    pool = df.select("features", *keys)
-    if rows > pool_size:
-        pool = pool.filter(own < 2.0 * pool_size / rows).orderBy(own, *keys).limit(pool_size)
-    rate = min(1.0, 2.0 * sample_size / max(1, min(rows, pool_size)))
-
-    def drawn(tree: Column) -> Column:
-        return _fraction(*keys, tree, F.lit(seed))
-
-    members = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < rate)
-    offered = pool.select("features", *keys, F.explode(members).alias("tree")).withColumn(
-        "draw", drawn(F.col("tree"))
-    )
+    rate = min(1.0, 2.0 * sample_size / max(1, rows))
+
+    def hits(tree: Column) -> Column:
+        return _fraction(*keys, tree, F.lit(seed)) < rate
+
+    first = F.lit(0)
+    if rate < 1.0:
+        gap = F.log1p(-_fraction(*keys, F.lit(seed))) / math.log1p(-rate)
+        first = F.least(F.floor(gap), F.lit(trees)).cast("int")
+    offered = df.select("features", *keys, first.alias("_first")).filter(F.col("_first") < trees)
+    behind = F.filter(F.sequence(F.col("_first") + 1, F.lit(trees)), lambda t: (t < trees) & hits(t))
+    offered = offered.select(
+        "features", *keys, F.explode(F.concat(F.array("_first"), behind)).alias("tree")
+    ).withColumn("draw", _fraction(*keys, F.col("tree"), F.lit(seed + 1)))
     place = F.row_number().over(Window.partitionBy("tree").orderBy("draw", *keys))
     return offered.withColumn("place", place).filter(F.col("place") <= sample_size)
 

@@ -56,10 +56,19 @@ def test_trees_draw_the_sample_size(points):
     assert drawn.select("tree", "id").distinct().count() == 20 * 64
 
 
-def test_sample_from_more_rows_than_the_pool(points, monkeypatch):
-    monkeypatch.setattr(forests, "POOL_SAMPLES", 4)
-    drawn = forests._tree_samples(points, ["id"], 10, 16, 7)
-    assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {16}
+def test_trees_draw_from_all_rows(spark):
+    """The trees together see more rows than any pool of 64 samples holds."""
+    many = spark.range(40_000).withColumn("features", F.array(F.col("id").cast("double")))
+    drawn = forests._tree_samples(many, ["id"], 200, 256, 7).select("tree", "id").persist()
+    assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {256}
+    wanted = 40_000 * (1 - (1 - 256 / 40_000) ** 200)
+    assert drawn.distinct().count() == 200 * 256
+    assert drawn.select("id").distinct().count() == pytest.approx(wanted, rel=0.03)
+    assert wanted > 64 * 256
+    for part in ("id < 20000", "tree < 100 AND id < 20000"):
+        share = 1.0 if "tree" not in part else 0.5
+        assert drawn.filter(part).count() == pytest.approx(share * 200 * 128, rel=0.05)
+    drawn.unpersist()
 
 
 def test_path_length_against_walk(spark, points, forest):
@@ -171,7 +180,7 @@ def test_train_store_load_detect(spark, prepared, tmp_path, name):
     run = stores.read_runs(spark, runs).first()
     assert run["run_id"] == detector.run_id and run["metrics"]["threshold"] == detector.threshold
     assert stores.latest_version(stores.read_runs(spark, runs), detector.model_type, "Production") == detector.run_id
-    with pytest.raises(ValueError, match="No model named"):
+    with pytest.raises(ValueError, match="no run of"):
         stores.latest_version(stores.read_runs(spark, runs), "other", "Production")
     loaded = stores.load_detector(spark, f"{models}/{detector.run_id}")
     raw = prepared.windows("test", detector.features).select(UNIT, CYCLE, "window")
@@ -197,7 +206,7 @@ def test_requests_with_wrong_shape_are_quarantined(spark):
 
 
 def test_scaler_is_applied_before_scoring(spark):
-    scaler = scalers.MinMaxScaler({"a": 0.0}, {"a": 10.0})
+    scaler = scalers.Scaler("min_max", {"a": (0.0, 10.0)})
     detector = Detector("naive_forecast", 0.1, ["a"], scaler, None, 3, 1)
     df = spark.createDataFrame([("e", [[0.0], [5.0], [10.0]])], "id string, window array<array<double>>")
     assert detect(df, detector).first()["anomaly_score"] == pytest.approx(0.25)
