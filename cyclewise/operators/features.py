@@ -47,7 +47,7 @@ def rolling_columns(
     """Rolling expressions in feature order: size, then statistic, then sensor."""
     unknown = [s for s in stats if s not in _STATISTICS]
     if unknown:
-        raise ValueError(f"Unsupported rolling statistic: {unknown[0]}")
+        raise ValueError(f"rolling statistics {unknown} are none of {sorted(_STATISTICS)}")
     return [
         _STATISTICS[stat](c).over(over.rowsBetween(1 - size, 0)).alias(rolling_name(c, stat, size))
         for size in sizes

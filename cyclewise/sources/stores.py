@@ -153,7 +153,7 @@ def latest_version(runs: DataFrame, model_type: str, stage: str) -> str:
     chosen = runs.filter((F.col("model_type") == model_type) & (F.col("stage") == stage))
     row = latest_runs(chosen).first()
     if row is None:
-        raise ValueError(f"No model named '{model_type}' found in stage '{stage}'")
+        raise ValueError(f"no run of {model_type!r} has the stage {stage!r}")
     return row["run_id"]
 
 

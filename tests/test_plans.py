@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cyclewise.operators import features
-from cyclewise.operators.scalers import MinMaxScaler, transform_features
+from cyclewise.operators.scalers import Scaler, transform_features
 from cyclewise.operators.unit_order import Layout
 from cyclewise.plans import fixtures
 from cyclewise.sources.tables import read_table
@@ -58,7 +58,7 @@ def test_unit_filter_passes_the_window(spark, sf_dir):
 
 
 def test_scaling_is_a_projection_without_join(spark, panel):
-    scaler = MinMaxScaler({"sensor_2": 0.0}, {"sensor_2": 1.0})
+    scaler = Scaler("min_max", {"sensor_2": (0.0, 1.0)})
     plan = plan_of(transform_features(panel.select("unit_id", "sensor_2"), scaler))
     assert "Join" not in plan and "Exchange" not in plan
 

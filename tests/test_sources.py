@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.constants import RAW_COLUMNS
 from cyclewise.operators import panel as panels
-from cyclewise.operators.scalers import MinMaxScaler, StandardScaler
+from cyclewise.operators.scalers import Scaler
 from cyclewise.sources import stores
 from cyclewise.sources.panel_text import ingest_test, ingest_train, read_panel, read_remaining_life
 from cyclewise.sources.tables import read_table
@@ -87,7 +87,7 @@ def test_zone_less_times_become_instants(spark, sf_dir):
 
 @pytest.mark.parametrize(
     "scaler",
-    [MinMaxScaler({"a": 1.0}, {"a": 3.5}, (0.0, 2.0)), StandardScaler({"a": 1.0}, {"a": 0.5})],
+    [Scaler("min_max", {"a": (1.0, 3.5)}, (0.0, 2.0)), Scaler("standard", {"a": (1.0, 0.5)})],
 )
 def test_scaler_files(spark, tmp_path, scaler):
     stores.save_scaler(spark, scaler, f"{tmp_path}/s")
