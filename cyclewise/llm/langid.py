@@ -1,6 +1,6 @@
 """Language identification with spans.
 
-Letters are grouped into words. The script of a word narrows the languages that may be
+Letters, with the marks that follow or precede them, are grouped into words. The script of a word narrows the languages that may be
 meant; every word gets, per language, the sum of log probabilities of its character
 trigrams. Viterbi over the words with a penalty for each change of language labels spans,
 so a text of several languages is cut where it changes. The language of a document is the
@@ -42,6 +42,8 @@ SWITCH = 20.0
 #: A script belongs to a language if it has this share of the language's words.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
+#: No code point from here on is a letter.
+LETTERS_END = 0x33480
 
 # First code points of Unicode script blocks and their names, in order.
 SCRIPT_STARTS = [
@@ -62,29 +64,39 @@ LABEL_TYPE = "struct<lang:string,score:double,spans:array<struct<begin:int,end:i
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case letter of a code point (0: no letter or mark), and script borders and numbers."""
-    lower = np.zeros(0x10000, np.uint32)
-    for point in range(0x10000):
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case letter of a code point (0: no letter or mark), letters, script borders and numbers."""
+    lower = np.zeros(LETTERS_END + 1, np.uint32)
+    letters = np.zeros(LETTERS_END + 1, bool)
+    for point in range(LETTERS_END):
         c = chr(point)
-        if unicodedata.category(c)[0] in "LM":
+        kind = unicodedata.category(c)[0]
+        if kind in "LM":
             small = c.lower()
             lower[point] = ord(small) if len(small) == 1 else point
+            letters[point] = kind == "L"
     starts = np.array([s for s, _ in SCRIPT_STARTS], np.uint32)
-    return lower, starts, np.array([SCRIPTS.index(n) for _, n in SCRIPT_STARTS], np.int16)
+    return lower, letters, starts, np.array([SCRIPTS.index(n) for _, n in SCRIPT_STARTS], np.int16)
 
 
 class Words:
     """Words of several texts: where they begin and end, their trigram buckets and scripts."""
 
     def __init__(self, texts: list[str]):
-        lower, starts, numbers = _tables()
+        lower, letters, starts, numbers = _tables()
         joined = "\0".join(texts) + "\0\0"
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        small = np.where(points < 0x10000, lower[np.minimum(points, 0xFFFF)], points)
+        known = np.minimum(points, LETTERS_END)
+        small = lower[known]
         letter = small > 0
         edge = np.flatnonzero(np.diff(letter.astype(np.int8), prepend=np.int8(0)))
         self.begin, self.end = edge[::2], edge[1::2]  # a joined text ends with no letter
+        if len(self.begin):
+            word = np.logical_or.reduceat(letters[known], self.begin)  # behind a word nothing is a letter
+            if not word.all():  # marks alone are no word
+                small[letter] *= np.repeat(word, self.end - self.begin)
+                letter = small > 0
+                self.begin, self.end = self.begin[word], self.end[word]
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         self.text_at = np.concatenate([[0], np.cumsum(sizes)])
         self.first_word = np.searchsorted(self.begin, self.text_at)
