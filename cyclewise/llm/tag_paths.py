@@ -262,7 +262,7 @@ def _article(blocks: list[Block], content: list[bool]) -> Element | None:
 
 
 def main_text(page: str | None) -> str:
-    """The article of a page, blocks joined by line ends."""
+    """The article of a page, blocks joined by an empty line."""
     if not page:
         return ""
     blocks = blocks_of(page)
@@ -286,7 +286,7 @@ def main_text(page: str | None) -> str:
         own_title = b.element.header and not b.element.aside and any(e.tag in HEADINGS for e in line)
         if ok or (own_title and article is not None and article.tag in ("article", "main")):
             kept.append(b.text)
-    return "\n".join(kept)
+    return "\n\n".join(kept)
 
 
 def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

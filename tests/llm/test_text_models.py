@@ -22,21 +22,21 @@ def test_main_text_equals_marked_article(spark, sf_dir):
         inner = re.search(r"<article>(.*)</article>", pages[r["page_id"]], re.S)[1]
         inner = re.sub(r"</?(p|h1)>", "\0", re.sub(r"</?b>", "", inner.replace("<br>", " ")))
         blocks = (" ".join(html.unescape(x).split()) for x in inner.split("\0"))
-        assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+        assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
 @pytest.mark.parametrize(
     "page, text",
     [
         (None, ""), ("", ""), ("<script>if(a<b){}</script><p></p>", ""), ("plain &amp; simple", "plain & simple"),
-        ("<p>a<p>b<ul><li>x<li>y</ul>", "a\nb\nx\ny"), ("<div>1 < 2<br>next&nbsp;one</div>", "1 < 2 next one"),
+        ("<p>a<p>b<ul><li>x<li>y</ul>", "a\n\nb\n\nx\n\ny"), ("<div>1 < 2<br>next&nbsp;one</div>", "1 < 2 next one"),
         (
             "<body><header><h1>Site</h1></header><nav><a>Home, page</a></nav><div id=content><h2>Title</h2>"
             "<p>One, two.</p><p>Three <i>four</i> &lt;b&gt;.</p><div class='user-comments'><p>Nice, really nice!</p></div>"
             "</div><aside>Side, side.</aside><form><p>Name, please.</p></form><div class='cookie-notice'>Cookies, ok.</div>",
-            "Title\nOne, two.\nThree four <b>.",
+            "Title\n\nOne, two.\n\nThree four <b>.",
         ),
-        ("<main><header><h1>T</h1><p>By me</p></header><p>Body.</p><footer>f</footer></main>", "T\nBody."),
+        ("<main><header><h1>T</h1><p>By me</p></header><p>Body.</p><footer>f</footer></main>", "T\n\nBody."),
     ],
 )
 def test_main_text_of_odd_pages(page, text):
@@ -67,6 +67,13 @@ def test_best_paths_equal_exhaustive_search():
             assert value(tuple(states[lo:hi])) == pytest.approx(best, abs=1e-3)
 
 
+@pytest.mark.parametrize("text", ["\U0001f600 \U0001f680", "\u2764\ufe0f", "\u0301", "1\ufe0f\u20e3 23", "\U000e0101"])
+def test_signs_and_lone_marks_are_no_words(text):
+    words = langid.Words([text, "a\u0301b " + text + " c", "\U00020000"])
+    assert list(words.first_word) == [0, 0, 2, 3]
+    assert list(words.end - words.begin) == [3, 1, 1]
+
+
 def test_language_of_held_out_texts(spark, sf_dir):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = [r for r in QUERIES["op8_language"](spark, sf_dir).collect() if r["held_out"]]
