@@ -10,7 +10,8 @@ functions here never do that:
   rolling mean is complete inside every chunk.
 
 Side tables hold at most ``rows / hot_rows`` hot units and ``2 * SLICE_MARGIN`` times
-as many slices, which is what bounds the broadcasts below.
+as many slices. They are broadcast only if the layout was measured, which bounds them;
+else they are plain joins, for which Spark looks at the sizes.
 
 ``Layout.measured`` counts the rows per unit once. It raises the limit with the
 number of rows, so the side tables have a fixed largest size. Only when no unit is
@@ -52,6 +53,10 @@ class Layout:
         """True unless every unit is known to fit into one task."""
         return self.largest is None or self.largest > self.hot_rows
 
+    def side(self, table: DataFrame) -> DataFrame:
+        """A side table, broadcast where measuring has bounded it."""
+        return table if self.largest is None else F.broadcast(table)
+
 
 SPLIT = Layout()
 
@@ -66,8 +71,9 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot slice on {name}: {kind.simpleString()}")
 
 
-def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> DataFrame:
+def _sliced(df: DataFrame, axis: Column, unit: str, layout: Layout) -> DataFrame:
     """Rows with ``_slice``, 0 for ordinary units, and the facts of a hot unit."""
+    hot_rows = layout.hot_rows
     hot = (
         df.groupBy(unit)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi"))
@@ -88,7 +94,7 @@ def _sliced(df: DataFrame, axis: Column, unit: str, hot_rows: int) -> DataFrame:
             F.col("_parts") - 1,
         ),
     )
-    return df.join(F.broadcast(hot), unit, "left").withColumn(
+    return df.join(layout.side(hot), unit, "left").withColumn(
         "_slice", F.coalesce(part.cast("long"), F.lit(0).cast("long"))
     )
 
@@ -116,7 +122,7 @@ def number_rows(
                 remaining, F.count(F.lit(1)).over(whole) - F.col(position)
             )
         return numbered.select(*kept)
-    rows = _sliced(df, _axis(df, order[0]), unit, layout.hot_rows)
+    rows = _sliced(df, _axis(df, order[0]), unit, layout)
     before = Window.partitionBy(unit).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.filter(F.col("_rows").isNotNull())
@@ -126,7 +132,7 @@ def number_rows(
     )
     group = Window.partitionBy(unit, "_slice")
     start = F.coalesce(F.col("_before"), F.lit(0))
-    numbered = rows.join(F.broadcast(offsets), [unit, "_slice"], "left").withColumn(
+    numbered = rows.join(layout.side(offsets), [unit, "_slice"], "left").withColumn(
         position, (F.row_number().over(group.orderBy(*order)) + start).cast("long")
     )
     if remaining is not None:
@@ -171,12 +177,12 @@ def unit_max(
 ) -> DataFrame:
     """Attach the largest ``value`` of the unit to each of its rows.
 
-    Ordinary units use a window, units above ``hot_rows`` a broadcast table of at
+    Ordinary units use a window, units above ``hot_rows`` a side table of at
     most ``rows / hot_rows`` entries; their rows are spread by slices of ``value``.
     """
     if not layout.splits:
         return df.withColumn(out, F.max(value).over(Window.partitionBy(unit)))
-    rows = _sliced(df, F.col(value).cast("double"), unit, layout.hot_rows)
+    rows = _sliced(df, F.col(value).cast("double"), unit, layout)
     in_slice = F.max(value).over(Window.partitionBy(unit, "_slice"))
     hot_max = F.col("_hi").cast(df.schema[value].dataType)
     return rows.withColumn(out, F.coalesce(hot_max, in_slice)).select(*df.columns, out)
@@ -189,7 +195,7 @@ def previous_value(
     if not layout.splits:
         before = F.lag(value).over(Window.partitionBy(unit).orderBy(value))
         return df.withColumn(out, before)
-    rows = _sliced(df, F.col(value).cast("double"), unit, layout.hot_rows)
+    rows = _sliced(df, F.col(value).cast("double"), unit, layout)
     tops = (
         rows.filter(F.col("_rows").isNotNull())
         .groupBy(unit, "_slice")
@@ -202,7 +208,7 @@ def previous_value(
     )
     in_slice = F.lag(value).over(Window.partitionBy(unit, "_slice").orderBy(value))
     return (
-        rows.join(F.broadcast(tops), [unit, "_slice"], "left")
+        rows.join(layout.side(tops), [unit, "_slice"], "left")
         .withColumn(out, F.coalesce(in_slice, F.col("_carry")))
         .select(*df.columns, out)
     )

@@ -24,7 +24,7 @@ from cyclewise.operators.models.forecast import fit_ridge
 from cyclewise.operators.models.forest import fit_forest
 from cyclewise.operators.models.reconstruction import fit_reconstruction
 from cyclewise.operators.scoring import Detector, canonical_model, score
-from cyclewise.operators.unit_order import SPLIT, Layout
+from cyclewise.operators.unit_order import Layout
 from cyclewise.session import settle
 from cyclewise.sources.stores import append_run, save_detector
 
@@ -63,14 +63,16 @@ def prepare(
     length: int = WINDOW_SIZE,
     method: str = "min_max",
     position: str | None = None,
-    layout: Layout = SPLIT,
+    layout: Layout | None = None,
     **split_args,
 ) -> Prepared:
     """Split by unit, engineer once, fit the scaler on the training rows only.
 
     Rolling features never cross units, so one pass serves all three splits. The
     engineered rows are settled, because the scaler fit and the windows read them.
+    Without ``layout`` the rows per unit are counted first.
     """
+    layout = layout or Layout.measured(panel)
     tagged = split.with_split(panel, **split_args)
     engineered = settle(
         features.engineer(tagged, position=position, layout=layout)

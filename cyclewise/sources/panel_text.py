@@ -52,15 +52,16 @@ def read_remaining_life(spark: SparkSession, path: str) -> DataFrame:
         .select(*block, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     )
     place = F.row_number().over(Window.partitionBy(*block).orderBy("at"))
-    return lines.join(F.broadcast(starts), block).select(
+    return lines.join(starts, block).select(
         (F.col("before") + place).cast("long").alias(UNIT),
         F.col("rul").cast("long").alias("rul_last"),
     )
 
 
 def ingest_train(spark: SparkSession, path: str) -> DataFrame:
-    """Scan, remaining life, label and simulated event time as one lazy frame."""
-    labeled = panel.label_anomalies(panel.compute_rul(read_panel(spark, path)))
+    """Scan, remaining life, label and simulated event time; rows per unit are counted first."""
+    rows = read_panel(spark, path)
+    labeled = panel.label_anomalies(panel.compute_rul(rows, layout=Layout.measured(rows)))
     return panel.add_simulated_timestamps(labeled)
 
 

@@ -118,10 +118,14 @@ def detection_sink(
     """Score the requests of a batch, store the anomalies, keep the rejected ones."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        results, rejected = detect_requests(batch, detector)
-        events = anomalies_only(results).withColumnRenamed("timestamp", "detected_at")
-        write_event_batch(events, events_path, batch_id)
-        rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            results, rejected = detect_requests(batch, detector)
+            events = anomalies_only(results).withColumnRenamed("timestamp", "detected_at")
+            write_event_batch(events, events_path, batch_id)
+            rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return handle
 
