@@ -186,8 +186,8 @@ def _facts(df: DataFrame) -> DataFrame:
         F.max("last_cycle").alias("max_cycles_per_unit"),
         F.avg("last_cycle").alias("avg_cycles_per_unit"),
     )
-    one = F.lit(1).alias("_one")  # both sides are a single row
-    return ranges.select("*", one).join(values.select("*", one), "_one").drop("_one")
+    facts = ranges.unionByName(values, allowMissingColumns=True)  # two rows, each fact known in one
+    return facts.agg(*[F.max(f"`{c}`").alias(c) for c in facts.columns])
 
 
 def _null_total(df: DataFrame) -> Column:
