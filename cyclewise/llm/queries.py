@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import chunk_dedup, dart_minhash, decontaminate, langid, license_rules, mixing, prefix_hash, rule_quality, tag_paths, warc
+from cyclewise.llm import chunk_dedup, dart_minhash, decontaminate, fill_middle, filter_audit, langid, license_rules, mixing, pii_crf, prefix_hash, rule_quality, tag_paths, warc
 from cyclewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,27 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunk_dedup.dedup(docs).withColumn("n_chars", F.length("text"))
+
+
+@_register
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders, per source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op13_filter_audit"] = filter_audit.audit_sql()
+
+
+@_register
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every text, and the text restored from it."""
+    return fill_middle.digests(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+SQL["op12_fill_middle"] = fill_middle.fill_middle_sql()
+
+
+@_register
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: counts and digest of the patterns' spans, and all spans."""
+    return pii_crf.digests(pii_crf.find(table(spark, sf_dir, "documents")))

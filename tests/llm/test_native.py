@@ -18,8 +18,11 @@ def test_query_equals_sql(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_edge_rows_equal_sql(spark, tmp_path, name):
     edge_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(1, 1, 0), (1, 0, 1), (2, None, 1), (7, 1, None), (None, 1, 1), (99, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     con = duck(str(tmp_path))
-    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
     assert compare(queries.QUERIES[name](spark, str(tmp_path)), queries.SQL[name], con) == []
 
 
