@@ -62,5 +62,5 @@ MAX_MODEL_VERSION = 128
 HOT_ROWS = 250_000
 #: At most this many units are split; the row limit rises with the data to keep it.
 MAX_HOT_UNITS = 250_000
-#: Slices per row limit, so that bursts of this factor still fit into one task.
-SLICE_MARGIN = 4
+#: Ranges per row limit; sampled borders are uneven by less than this factor.
+RANGE_MARGIN = 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cyclewise.constants import DRIFT_P_VALUE, DRIFT_SHARE
 from cyclewise.functions.numeric import is_missing, kolmogorov_p_value
 from cyclewise.functions.small_sample import exact_p_values
-from cyclewise.operators.prefix import BUCKET, running_totals, with_buckets
+from cyclewise.operators.prefix import BUCKET, running_totals, value_counts
 
 #: Preset report: a feature drifted from this normalised distance on, the data set from
 #: this share of its features on.
@@ -30,40 +30,41 @@ def stack_sides(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     )
 
 
-def _long(stacked: DataFrame, columns: list[str], buckets: int | None) -> DataFrame:
-    """``(feature, value, bucket, side)`` of the known values."""
-    cast = stacked.select("side", *[F.col(c).cast("double").alias(c) for c in columns])
-    names = [f"_b_{i}" for i in range(len(columns))]
-    bucketed = with_buckets(cast, columns, names, buckets)
+def unpivoted(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """``(feature, value)`` of the known values, with the columns to keep."""
     entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(b).alias(BUCKET)
-            )
-            for c, b in zip(columns, names)
-        ]
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    return bucketed.select("side", F.inline(entries)).filter(~is_missing(F.col("value")))
+    return df.select(*keep, F.inline(entries)).filter(~is_missing(F.col("value")))
 
 
 def _ecdf(
     reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None
 ) -> DataFrame:
-    """Both empirical distributions at every distinct value of every feature."""
-    long = _long(stack_sides(reference, current, columns), columns, buckets)
-    counts = long.groupBy("feature", BUCKET, "value").agg(
-        F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur")
-    )
-    ranked = running_totals(counts, "value", ["ref", "cur"], ["feature"])
-    return ranked.withColumn(
-        "gap",
-        F.abs(
-            F.try_divide(F.col("ref_upto"), F.col("ref_total"))
-            - F.try_divide(F.col("cur_upto"), F.col("cur_total"))
-        ),
+    """Both empirical distributions at every distinct value of every feature.
+
+    Either side is scanned once, to count its values; everything later reads the counts.
+    """
+    long = unpivoted(stack_sides(reference, current, columns), columns, "side")
+    sides = {"ref": F.count_if(F.col("side") == 0), "cur": F.count_if(F.col("side") == 1)}
+    counts = value_counts(long, "value", sides, buckets, ["feature"])
+    return running_totals(counts, "value", ["ref", "cur"], ["feature"]).withColumn("gap", _gap())
+
+
+def _gap() -> Column:
+    """Distance of the two distributions at a value."""
+    return F.abs(
+        F.try_divide(F.col("ref_upto"), F.col("ref_total"))
+        - F.try_divide(F.col("cur_upto"), F.col("cur_total"))
     )
 
 
+def tested(ranked: DataFrame, method: str = "asymptotic") -> DataFrame:
+    """Statistic and p-value per feature from running totals of both sides."""
+    statistic = F.max(_gap()).alias("statistic")
+    return _p_values(_both_sided(ranked.groupBy("feature"), statistic), method)
+
+
 def ks_test(
     reference: DataFrame,
     current: DataFrame,
@@ -78,13 +79,7 @@ def ks_test(
     product of both sizes and is meant for samples the caller knows to be small.
     """
     columns = columns or common_columns(reference, current)
-    return _p_values(
-        _both_sided(
-            _ecdf(reference, current, columns, buckets).groupBy("feature"),
-            F.max("gap").alias("statistic"),
-        ),
-        method,
-    )
+    return tested(_ecdf(reference, current, columns, buckets), method)
 
 
 def _both_sided(grouped: GroupedData, *measures: Column) -> DataFrame:
@@ -115,42 +110,41 @@ def compare(
 
     The first Wasserstein distance is the area between the two distributions. The
     step behind a value reaches to the next value, which for the last value of a
-    bucket is the first one of the next filled bucket. The normed distance is over
-    the deviation of the reference.
+    range is the first one of the next range that has values. The normed distance is
+    over the deviation of the reference, which follows from the counts as well: their
+    mean first, then the squares around it.
     """
     columns = columns or common_columns(reference, current)
     ecdf = _ecdf(reference, current, columns, buckets)
     key = ["feature", BUCKET]
-    firsts = ecdf.groupBy(*key).agg(F.min("value").alias("_first"))
-    following = firsts.select(
+    per_range = ecdf.groupBy(*key).agg(
+        F.min("value").alias("_first"),
+        F.sum(F.col("value") * F.col("ref")).alias("_sum"),
+        F.max("ref_total").alias("_n"),
+    )
+    whole = Window.partitionBy("feature")
+    facts = per_range.select(
         *key,
-        F.lead("_first").over(Window.partitionBy("feature").orderBy(BUCKET)).alias("_next_bucket"),
+        F.lead("_first").over(whole.orderBy(BUCKET)).alias("_next_range"),
+        F.try_divide(F.sum("_sum").over(whole), F.max("_n").over(whole)).alias("_mean"),
     )
     upcoming = F.coalesce(
-        F.lead("value").over(Window.partitionBy(*key).orderBy("value")), F.col("_next_bucket")
+        F.lead("value").over(Window.partitionBy(*key).orderBy("value")), F.col("_next_range")
     )
-    stepped = ecdf.join(F.broadcast(following), key).withColumn(
-        "area", F.col("gap") * (upcoming - F.col("value"))
+    off = F.col("value") - F.col("_mean")
+    stepped = ecdf.join(F.broadcast(facts), key).select(
+        "*",
+        (F.col("gap") * (upcoming - F.col("value"))).alias("area"),
+        (F.col("ref") * off * off).alias("squares"),
     )
     measured = _both_sided(
         stepped.groupBy("feature"),
         F.max("gap").alias("statistic"),
         F.coalesce(F.sum("area"), F.lit(0.0)).alias("distance"),
-    )
-    spreads = reference.agg(
-        *[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns]
-    ).select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("feature"), F.col(c).alias("spread")) for c in columns]
-            )
-        )
+        F.sqrt(F.try_divide(F.sum("squares"), F.max("ref_total"))).alias("spread"),
     )
     normed = F.col("distance") / F.greatest(F.col("spread"), F.lit(0.001))
-    return _p_values(
-        measured.join(F.broadcast(spreads), "feature").withColumn("normed_distance", normed),
-        method,
-    ).drop("spread")
+    return _p_values(measured.withColumn("normed_distance", normed), method).drop("spread")
 
 
 def wasserstein(

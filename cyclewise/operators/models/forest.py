@@ -21,7 +21,9 @@ from cyclewise.constants import SEED, TREE_SAMPLE, TREES
 from cyclewise.functions.numeric import ratio
 from cyclewise.session import settle
 
-NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
+NODE_SCHEMA = (
+    "tree int, node int, feature int, split double, left int, right int, path double, depth int, rows int"
+)
 _SCALE = 1 << 53
 
 
@@ -83,7 +85,8 @@ def _grow(sample: pd.DataFrame, seed: int) -> pd.DataFrame:
         low, high = x[members].min(axis=0), x[members].max(axis=0)
         varying = np.flatnonzero(high > low)
         if depth >= limit or len(members) <= 1 or len(varying) == 0:
-            nodes.append((tree, node, -1, 0.0, -1, -1, depth + average_path(len(members))))
+            path = depth + average_path(len(members))
+            nodes.append((tree, node, -1, 0.0, -1, -1, path, depth, len(members)))
             continue
         feature = int(rng.choice(varying))
         # rounding must not lift the cut to the top value, or the right side is empty
@@ -96,7 +99,7 @@ def _grow(sample: pd.DataFrame, seed: int) -> pd.DataFrame:
         goes_left = x[members, feature] <= cut
         left, right = issued, issued + 1
         issued += 2
-        nodes.append((tree, node, feature, cut, left, right, 0.0))
+        nodes.append((tree, node, feature, cut, left, right, 0.0, depth, len(members)))
         open_nodes.append((left, members[goes_left], depth + 1))
         open_nodes.append((right, members[~goes_left], depth + 1))
     return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
@@ -116,6 +119,61 @@ def fit_nodes(
     )
 
 
+@dataclass
+class NodeArrays:
+    """Nodes of all trees in one set of arrays; children are places in it.
+
+    A leaf is its own child on both sides, so every row takes the same number of steps in
+    every tree, and a step of all trees is one gather for a block of rows.
+    """
+
+    roots: np.ndarray
+    feature: np.ndarray
+    split: np.ndarray
+    children: np.ndarray
+    path: np.ndarray
+    depth: int
+
+    #: Rows of a block times trees stay within this many places.
+    BLOCK = 400_000
+
+    @classmethod
+    def of(cls, nodes: pd.DataFrame) -> NodeArrays:
+        nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
+        sizes = nodes.groupby("tree", sort=True).size().to_numpy()
+        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int32)
+        offset = np.repeat(roots, sizes)
+        own = np.arange(len(nodes), dtype=np.int32)
+        leaf = nodes["feature"].to_numpy() < 0
+        sides = [np.where(leaf, own, nodes[c].to_numpy() + offset) for c in ("left", "right")]
+        children = np.column_stack(sides).astype(np.int32)
+        level, depth = children[roots].ravel(), 0
+        inner = ~leaf[roots]
+        while inner.any():
+            depth += 1
+            inner = ~leaf[level]
+            level = children[level[inner]].ravel()
+        feature = np.where(leaf, 0, nodes["feature"]).astype(np.int32)
+        return cls(roots, feature, nodes["split"].to_numpy(), children.ravel(), nodes["path"].to_numpy(), depth)
+
+    def mean_path(self, x: np.ndarray) -> np.ndarray:
+        """Mean path length of every row over the trees."""
+        trees = len(self.roots)
+        block = max(1, self.BLOCK // trees)
+        out = np.empty(len(x))
+        for lo in range(0, len(x), block):
+            part = np.ascontiguousarray(x[lo : lo + block])
+            width = part.shape[1]
+            base = (np.arange(len(part), dtype=np.int32) * width)[:, None]
+            flat = part.ravel()
+            at = np.broadcast_to(self.roots, (len(part), trees)).copy()
+            for _ in range(self.depth):
+                above = flat[base + self.feature[at]] > self.split[at]
+                at = self.children[2 * at + above]
+            out[lo : lo + block] = self.path[at].mean(axis=1)
+        return out
+
+
 @dataclass
 class Forest:
     """Fitted forest with the score range of its fit set."""
@@ -132,49 +190,24 @@ class Forest:
     ) -> Column:
         """``2 ** (-mean path / average path)``, in (0, 1).
 
-        With ``steps`` the column holds windows of that length, summarised here.
+        With ``steps`` the column holds windows of that length, summarised here. All trees
+        go down together, see ``NodeArrays``.
         """
-        trees = self.nodes["tree"].nunique()
-        width = int(self.nodes["node"].max()) + 1
-        feature = np.full((trees, width), -1, dtype=np.int64)
-        split, path = np.zeros((trees, width)), np.zeros((trees, width))
-        left = np.zeros((trees, width), dtype=np.int64)
-        right = np.zeros((trees, width), dtype=np.int64)
-        index = pd.factorize(self.nodes["tree"])[0], self.nodes["node"].to_numpy()
-        for table, name in (
-            (feature, "feature"),
-            (split, "split"),
-            (left, "left"),
-            (right, "right"),
-            (path, "path"),
-        ):
-            table[index] = self.nodes[name]
-        shared = spark.sparkContext.broadcast((feature, split, left, right, path))
+        shared = spark.sparkContext.broadcast(NodeArrays.of(self.nodes))
         norm = average_path(self.sample_size)
 
         @F.arrow_udf("double")
         def score(column: pa.Array) -> pa.Array:
-            kinds, cuts, lefts, rights, depths = shared.value
             n = len(column)
-            if n and steps:
+            if n == 0:
+                return pa.array([], pa.float64())
+            if steps:
                 flat = column.flatten().flatten().to_numpy(zero_copy_only=False)
                 windows = flat.reshape(n, steps, -1)
                 x = np.hstack([windows.mean(axis=1), windows.std(axis=1)])
-            elif n:
+            else:
                 x = column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            total = np.zeros(n)
-            rows = np.arange(n)
-            for t in range(len(kinds)):
-                at = np.zeros(n, dtype=np.int64)
-                while n:
-                    chosen = kinds[t][at]
-                    inner = chosen >= 0
-                    if not inner.any():
-                        break
-                    below = x[rows, np.maximum(chosen, 0)] <= cuts[t][at]
-                    at = np.where(inner, np.where(below, lefts[t][at], rights[t][at]), at)
-                total += depths[t][at]
-            return pa.array(np.power(2.0, -total / len(kinds) / norm))
+            return pa.array(np.power(2.0, -shared.value.mean_path(x) / norm))
 
         return score(features)
 

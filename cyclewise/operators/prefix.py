@@ -1,10 +1,11 @@
 """Ordered running totals over values that do not fit into one task.
 
-Values are aggregated first, so one value held by many rows is one entry. Cut
-points from approximate quantiles spread the distinct values over buckets; each
-bucket is summed on its own and shifted by the total of the buckets before it.
-Only the table of bucket totals, at most ``MAX_BUCKETS`` rows per group, is ever
-ordered as a whole. Without a given number there are as many buckets as shuffle
+Values are aggregated first, so one value held by many rows is one entry. Spark's range
+partitioner samples borders from these entries and deals them out in order; each range
+is summed on its own and shifted by the total of the ranges before it. The ranged entries
+are settled once: all later steps read them, never the rows again, and agree on the
+borders. Only the table of range totals, at most one row per range and two per group, is
+ever ordered as a whole. Without a given number there are as many ranges as shuffle
 partitions, so the work spreads over a cluster of any size.
 """
 
@@ -12,46 +13,22 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bucket"
-MIN_BUCKETS = 64
-MAX_BUCKETS = 4096
-
+from cyclewise.session import settle
 
-def bucket_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, partitions))
+BUCKET = "_bucket"
 
 
-def cut_points(
-    df: DataFrame, columns: list[str], buckets: int | None = None
-) -> list[list[float]]:
-    """Bucket borders per column; their number is bounded, whatever the size of the data."""
-    buckets = buckets or bucket_count(df)
-    steps = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(columns, steps, 1 / (2 * buckets))
-    return [
-        [-math.inf, *sorted({q for q in quantiles if math.isfinite(q)} or {0.0}), math.inf]
-        for quantiles in found
-    ]
+def range_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_buckets(
-    df: DataFrame, columns: list[str], out: list[str], buckets: int | None = None
-) -> DataFrame:
-    """Add the bucket of each column; borders only balance the work, never the result."""
-    known = [df.schema[c].dataType.simpleString() for c in columns]
-    if set(known) != {"double"}:
-        raise TypeError(f"bucketed columns must be double, got {known}")
-    return Bucketizer(
-        inputCols=columns,
-        outputCols=out,
-        splitsArray=cut_points(df, columns, buckets),
-        handleInvalid="keep",
-    ).transform(df)
+def in_ranges(counts: DataFrame, order: list[str], buckets: int | None = None) -> DataFrame:
+    """Entries dealt out by sampled borders of ``order``, settled, with their range as ``BUCKET``."""
+    dealt = counts.repartitionByRange(buckets or range_count(counts), *order)
+    return settle(dealt.withColumn(BUCKET, F.spark_partition_id()))
 
 
 def running_totals(
@@ -80,16 +57,23 @@ def running_totals(
 
 
 def value_counts(
-    df: DataFrame, value: str, amounts: dict[str, Column], buckets: int | None = None
+    df: DataFrame,
+    value: str,
+    amounts: dict[str, Column],
+    buckets: int | None = None,
+    group: list[str] | None = None,
 ) -> DataFrame:
-    """One row per distinct value with its amounts and bucket."""
-    counted = df.groupBy(value).agg(*[c.cast("long").alias(n) for n, c in amounts.items()])
-    return Bucketizer(
-        inputCol=value,
-        outputCol=BUCKET,
-        splits=cut_points(df.select(value), [value], buckets)[0],
-        handleInvalid="keep",
-    ).transform(counted)
+    """One row per group and distinct value with its amounts and range, settled.
+
+    Missing values are left out. The only pass over ``df``.
+    """
+    group = group or []
+    counted = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*group, value)
+        .agg(*[c.cast("long").alias(n) for n, c in amounts.items()])
+    )
+    return in_ranges(counted, [*group, value], buckets)
 
 
 def exact_quantiles(

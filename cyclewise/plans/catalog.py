@@ -9,6 +9,8 @@ from cyclewise.plans import (  # noqa: F401
     model_queries,
     panel_queries,
     quality_queries,
+    store_queries,
+    stream_queries,
 )
 from cyclewise.plans.registry import QUERIES, SQL
 

@@ -140,6 +140,10 @@ def fleet_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detection requests of 8 x 8 values; some labels stand for a kind of bad request."""
+    return requests_of(read_table(spark, sf_dir, "embeddings"))
+
+
+def requests_of(vectors: DataFrame) -> DataFrame:
     values = F.transform("embedding", lambda v: v.cast("double"))
     steps = F.transform(
         F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice(values, i * 8 + 1, F.lit(8))
@@ -150,7 +154,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     label = F.col("label")
     empty = F.array().cast("array<array<double>>")
-    return read_table(spark, sf_dir, "embeddings").select(
+    return vectors.select(
         "vec_id",
         F.when(label == 1, "")
         .when(label == 2, F.repeat(F.lit("x"), 65))

@@ -6,10 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cyclewise.constants import CYCLE, UNIT
+from cyclewise.constants import CYCLE, UNIT, WINDOW_SIZE
 from cyclewise.functions.decisions import engine_name
 from cyclewise.operators import features, scalers
-from cyclewise.operators.fleet import fleet_status
 from cyclewise.operators.models.forecast import fit_ridge, naive_error
 from cyclewise.operators.models.forest import fit_and_score
 from cyclewise.operators.models.reconstruction import fit_reconstruction, reconstruction_error
@@ -30,7 +29,7 @@ from cyclewise.plans.panel_queries import SPLIT_SQL
 from cyclewise.session import settle, shared_dir
 from cyclewise.sources.stores import read_events, write_event_batch
 from cyclewise.sources.tables import read_table
-from cyclewise.streaming import jobs
+from cyclewise.streaming import jobs, status
 from cyclewise.streaming.processor import stream_features
 
 _LAGS = "(PARTITION BY unit_id ORDER BY time_cycles)"
@@ -207,9 +206,9 @@ def event_store(spark, sf_dir):
 # Streams over the events file, drained and read back
 
 
-def _event_stream(spark, sf_dir):
+def _event_stream(spark, sf_dir, delay="1 hour"):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return jobs.in_event_time(jobs.read_stream(spark, sf_dir, schema, "events.parquet"))
+    return jobs.in_event_time(jobs.read_stream(spark, sf_dir, schema, "events.parquet"), delay=delay)
 
 
 @query(
@@ -222,10 +221,10 @@ def _event_stream(spark, sf_dir):
 )
 def stream_windows(spark, sf_dir):
     """Rolling features and windows from the keyed stream; the same rows as the batch."""
-    readings = _event_stream(spark, sf_dir).select(
+    readings = _event_stream(spark, sf_dir, "0 seconds").select(
         F.col("user_id").alias(UNIT), "ts", "event_id", F.col("value").alias("sensor_2")
     )
-    out = jobs.drain(stream_features(readings, ["sensor_2"]))
+    out = jobs.drain(stream_features(readings, ["sensor_2"], window=WINDOW_SIZE))
     return rounded_all(
         out.filter("NOT is_late").select(
             UNIT,
@@ -237,6 +236,77 @@ def stream_windows(spark, sf_dir):
     )
 
 
+#: Arrival of the readings: six-day slices of event time; some come a slice later, some two.
+_ARRIVAL_DAYS, _ARRIVALS, _LATE_DELAY_DAYS = 6, 5, 7
+_ARRIVAL_START = "2024-01-01"
+
+
+def _arrival_sql():
+    slice_of = f"CAST(floor(epoch(ts - TIMESTAMP '{_ARRIVAL_START}') / {86400 * _ARRIVAL_DAYS}) AS BIGINT)"
+    return f"""
+    sent AS (
+      SELECT user_id AS unit_id, event_id, ts, value + 0.0 AS sensor_2,
+        least({_ARRIVALS - 1}, greatest(0, {slice_of})
+          + CASE WHEN event_id % 97 = 0 THEN 2 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS arrival
+      FROM events),
+    tops AS (SELECT arrival, max(epoch_ms(ts)) - {_LATE_DELAY_DAYS * 86_400_000} AS top FROM sent GROUP BY arrival),
+    marks AS (
+      SELECT a.arrival, max(b.top) AS passed
+      FROM tops a LEFT JOIN tops b ON b.arrival < a.arrival GROUP BY a.arrival),
+    timed AS (
+      SELECT s.*, passed IS NOT NULL AND epoch_ms(ts) <= passed AS is_late FROM sent s JOIN marks USING (arrival)),
+    ordered AS (
+      SELECT unit_id, event_id, ts, sensor_2, row_number() OVER u AS time_cycles,
+        avg(sensor_2) OVER w AS mean_5, coalesce(stddev_samp(sensor_2) OVER w, 0.0) AS std_5
+      FROM timed WHERE NOT is_late
+      WINDOW u AS (PARTITION BY unit_id ORDER BY ts, event_id),
+        w AS (PARTITION BY unit_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+    """
+
+
+@query(
+    with_(
+        _arrival_sql(),
+        select=f"""SELECT unit_id, event_id, time_cycles, round(mean_5, 6) + 0.0 AS mean_5,
+        round(std_5, 6) + 0.0 AS std_5, false AS is_late FROM ordered
+        WHERE epoch_ms(ts) <= (SELECT max(top) FROM tops)
+        UNION ALL SELECT unit_id, event_id, NULL, NULL, NULL, true FROM timed WHERE is_late""",
+    )
+)
+def stream_late_rows(spark, sf_dir):
+    """Readings that arrive out of order: in time within the delay, quarantined beyond it.
+
+    The stream is stopped and started again after every arrival. Readings of the last
+    delay still wait for the watermark when the input ends.
+    """
+    events = read_table(spark, sf_dir, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(
+        F.lit(_ARRIVAL_START).cast("timestamp")
+    )
+    delayed = F.when(F.col("event_id") % 97 == 0, 2).when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    own = F.greatest(F.lit(0), F.floor(seconds / (86400 * _ARRIVAL_DAYS)))
+    sent = events.withColumn("arrival", F.least(F.lit(_ARRIVALS - 1), own + delayed))
+    base = f"{shared_dir(spark)}/late-{uuid.uuid4().hex}"
+    for arrival in range(_ARRIVALS):
+        sent.filter(F.col("arrival") == arrival).write.mode("append").parquet(f"{base}/in")
+        stream = jobs.read_stream(spark, f"{base}/in", sent.schema, files_per_trigger=100_000)
+        readings = jobs.in_event_time(stream, delay=f"{_LATE_DELAY_DAYS} days").select(
+            F.col("user_id").alias(UNIT), "ts", "event_id", F.col("value").alias("sensor_2")
+        )
+        featured = stream_features(readings, ["sensor_2"], sizes=[5])
+        jobs.start(featured, jobs.to_parquet(f"{base}/out"), f"{base}/state").awaitTermination()
+    return rounded_all(
+        spark.read.parquet(f"{base}/out").select(
+            UNIT,
+            F.col("tie").alias("event_id"),
+            CYCLE,
+            F.col("sensor_2_rolling_mean_5").alias("mean_5"),
+            F.col("sensor_2_rolling_std_5").alias("std_5"),
+            "is_late",
+        )
+    )
+
+
 @query(
     with_(
         READINGS,
@@ -290,7 +360,7 @@ def stream_distinct(spark, sf_dir):
     )
 )
 def stream_status(spark, sf_dir):
-    """Newest status per engine from a stream; the cycle is the event time here."""
+    """Newest status per engine from a log of changes; the cycle is the event time here."""
     end = F.unix_micros(F.lit("2024-01-30").cast("timestamp"))
     readings = _event_stream(spark, sf_dir).select(
         engine_name(F.col("user_id")).alias("engine_id"),
@@ -298,5 +368,9 @@ def stream_status(spark, sf_dir):
         end.alias("max_cycle"),
         (F.col("value") / 600).alias("anomaly_score"),
         (F.col("value") / 600 > fixtures.ALARM).alias("is_anomaly"),
+        "ts",
     )
-    return rounded_all(jobs.drain(fleet_status(readings), "complete"))
+    base = f"{shared_dir(spark)}/status-{uuid.uuid4().hex}"
+    changes = status.status_changes(readings, "ts")
+    jobs.start(changes, status.to_log(f"{base}/log"), f"{base}/state", "update").awaitTermination()
+    return rounded_all(status.current_status(spark, f"{base}/log"))

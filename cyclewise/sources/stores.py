@@ -6,7 +6,6 @@ import json
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +13,10 @@ from pyspark.sql import types as T
 from cyclewise.constants import MAX_MODEL_VERSION, MAX_SENSOR_ID
 from cyclewise.operators.models.forecast import RidgeForecaster
 from cyclewise.operators.models.forest import Forest
+from cyclewise.operators.models.reconstruction import LinearAutoencoder
 from cyclewise.operators.scalers import Scaler, scaler_from_dict
 from cyclewise.operators.scoring import Detector
+from cyclewise.sources import manifest
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -64,8 +65,11 @@ def save_detector(spark: SparkSession, detector: Detector, path: str) -> None:
             f"{path}/nodes"
         )
         extra = {"sample_size": model.sample_size, "low": model.low, "high": model.high}
-    elif isinstance(model, PipelineModel):
-        model.write().overwrite().save(f"{path}/pipeline")
+    elif isinstance(model, LinearAutoencoder):
+        rows = [(i, float(m), w.tolist()) for i, (m, w) in enumerate(zip(model.mean, model.components))]
+        spark.createDataFrame(rows, "i int, mean double, weights array<double>").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/components")
     elif isinstance(model, RidgeForecaster):
         extra = {"weights": model.weights.tolist()}
     meta = {
@@ -91,7 +95,8 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
         nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         model = Forest(nodes, meta["sample_size"], meta["low"], meta["high"])
     elif kind == "reconstruction":
-        model = PipelineModel.load(f"{path}/pipeline")
+        rows = sorted(spark.read.parquet(f"{path}/components").collect())
+        model = LinearAutoencoder(np.array([r["mean"] for r in rows]), np.array([r["weights"] for r in rows]))
     elif kind == "forecast":
         model = RidgeForecaster(np.array(meta["weights"]), meta["length"], meta["horizon"])
     return Detector(
@@ -157,6 +162,12 @@ def latest_version(runs: DataFrame, model_type: str, stage: str) -> str:
     return row["run_id"]
 
 
+def production_detector(spark: SparkSession, runs_path: str, models_path: str, model_type: str) -> Detector:
+    """The stored detector of the newest production run."""
+    run_id = latest_version(read_runs(spark, runs_path), model_type, "Production")
+    return load_detector(spark, f"{models_path}/{run_id}")
+
+
 # Anomaly events
 
 
@@ -195,15 +206,18 @@ def append_events(df: DataFrame, table: str) -> None:
     as_events(df).write.mode("append").insertInto(table)
 
 
+#: Stored events carry their day, by which they are partitioned.
+STORED_EVENTS = T.StructType([*EVENT_SCHEMA.fields, T.StructField("detected_date", T.DateType())])
+
+
 def write_event_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store the events of one batch; a repeated batch replaces its own folder."""
-    as_events(df).write.mode("overwrite").partitionBy("detected_date").parquet(
-        f"{path}/batch_id={batch_id}"
-    )
+    """Store the events of one batch: visible as a whole, and a repeated batch replaces its own."""
+    manifest.write_batch(as_events(df), path, batch_id, ["detected_date"])
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    """Events of all committed batches; a filter on ``detected_date`` prunes folders."""
+    return manifest.read_batches(spark, path, STORED_EVENTS)
 
 
 def append_events_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclewise.constants import CYCLE, UNIT
-from cyclewise.operators.drift import detect_drift
+from cyclewise.operators.drift_profile import detect_against
 from cyclewise.operators.scoring import Detector, anomalies_only, detect_requests
 from cyclewise.session import ROCKSDB, shared_dir
 from cyclewise.sources.stores import write_event_batch
@@ -112,15 +112,25 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def new_requests(requests: DataFrame, request_id: str) -> DataFrame:
+    """Requests whose id has not come within the watermark; a client may safely send again."""
+    return requests.dropDuplicatesWithinWatermark([request_id])
+
+
 def detection_sink(
-    detector: Detector, events_path: str, quarantine_path: str
+    detector: Detector | Callable[[SparkSession], Detector], events_path: str, quarantine_path: str
 ) -> Callable[[DataFrame, int], None]:
-    """Score the requests of a batch, store the anomalies, keep the rejected ones."""
+    """Score the requests of a batch, store the anomalies, keep the rejected ones.
+
+    A function in place of a detector is asked once per batch, so a new model version
+    applies from the next batch on and never within one.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            results, rejected = detect_requests(batch, detector)
+            current = detector if isinstance(detector, Detector) else detector(batch.sparkSession)
+            results, rejected = detect_requests(batch, current)
             events = anomalies_only(results).withColumnRenamed("timestamp", "detected_at")
             write_event_batch(events, events_path, batch_id)
             rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
@@ -131,14 +141,13 @@ def detection_sink(
 
 
 def drift_sink(
-    reference: DataFrame, columns: list[str], path: str
+    profile_path: str, columns: list[str], path: str
 ) -> Callable[[DataFrame, int], None]:
-    """Compare every batch with the reference and keep the decision."""
+    """Compare every batch with a kept profile of the reference and keep the decision."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            detect_drift(reference, batch, columns).write.mode("overwrite").parquet(
-                f"{path}/batch_id={batch_id}"
-            )
+            decision = detect_against(batch.sparkSession, profile_path, batch, columns)
+            decision.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return handle

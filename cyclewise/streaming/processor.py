@@ -1,4 +1,4 @@
-"""Keyed ring buffer: rolling features and full windows per unit on a stream."""
+"""Event-time ring buffer: rolling features and full windows per unit on a stream."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -15,23 +15,33 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from cyclewise.constants import CYCLE, ROLLING_SIZES, UNIT, WINDOW_SIZE
 from cyclewise.operators.features import rolling_name
 
-STATE = T.StructType(
+#: Rows whose features are computed and passed on at once.
+CHUNK_ROWS = 5_000
+
+RING = T.StructType(
     [
         T.StructField("seen", T.LongType()),
-        T.StructField("newest", T.LongType()),
-        T.StructField("newest_tie", T.LongType()),
         T.StructField("tail", T.ArrayType(T.DoubleType())),
     ]
 )
+WAITING = T.StructType(
+    [
+        T.StructField("event_us", T.LongType()),
+        T.StructField("tie", T.LongType()),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+    ]
+)
+TIMER = T.StructType([T.StructField("expiry_ms", T.LongType())])
 
 
-def output_schema(sensors: list[str], sizes: list[int]) -> T.StructType:
+def output_schema(sensors: list[str], sizes: list[int], window: int | None) -> T.StructType:
     rolled = [
         T.StructField(rolling_name(c, stat, size), T.DoubleType())
         for size in sizes
         for stat in ("mean", "std")
         for c in sensors
     ]
+    windows = [T.StructField("window", T.ArrayType(T.DoubleType()))] if window else []
     return T.StructType(
         [
             T.StructField(UNIT, T.LongType()),
@@ -40,7 +50,7 @@ def output_schema(sensors: list[str], sizes: list[int]) -> T.StructType:
             T.StructField("tie", T.LongType()),
             *[T.StructField(c, T.DoubleType()) for c in sensors],
             *rolled,
-            T.StructField("window", T.ArrayType(T.ArrayType(T.DoubleType()))),
+            *windows,
             T.StructField("is_late", T.BooleanType()),
         ]
     )
@@ -60,109 +70,164 @@ def rolling_statistics(series: np.ndarray, size: int) -> tuple[np.ndarray, np.nd
     return mean, np.sqrt((off * off).sum(axis=-1) / np.maximum(n - 1, 1))
 
 
-class RingBuffer(StatefulProcessor):
-    """Holds the last rows of a unit, one less than the longest frame.
+class EventTimeRing(StatefulProcessor):
+    """Holds rows until the watermark has passed them, then the last rows of the unit.
 
-    Rows of a batch are sorted by event time and tie-breaker. A row not newer than
-    the newest one already counted is late: it is passed on with ``is_late`` and
-    never changes the features of other rows.
+    A row at or before the watermark, which counts in milliseconds, is late: it is passed on
+    at once with ``is_late`` and never changes the features of other rows, as is a row
+    without a time. All others wait
+    in state, in any order. A timer of the earliest waiting row fires when the watermark
+    reaches it; the rows passed by then are ordered by time and tie-breaker, numbered and
+    given their features. So the order of arrival within the delay does not matter, and
+    what has been passed on is final.
     """
 
-    def __init__(self, sensors: list[str], sizes: list[int], window: int) -> None:
+    def __init__(self, sensors: list[str], sizes: list[int], window: int | None) -> None:
         self.sensors = sensors
         self.sizes = sizes
         self.window = window
-        self.keep = max([window, *sizes]) - 1
+        self.keep = max([window or 1, *sizes]) - 1
+        self.names = output_schema(sensors, sizes, window).names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("ring", STATE)
+        self.handle = handle
+        self.ring = handle.getValueState("ring", RING)
+        self.timer = handle.getValueState("timer", TIMER)
+        self.waiting = handle.getListState("waiting", WAITING)
 
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["event_us", "tie"], ignore_index=True)
-        seen, newest, tie, tail = 0, None, None, np.empty((0, len(self.sensors)))
-        if self.state.exists():
-            seen, newest, tie, flat = self.state.get()
-            tail = np.array(flat, dtype=float).reshape(-1, len(self.sensors))
-        late = np.zeros(len(batch), dtype=bool)
-        if newest is not None:
-            at, order = batch["event_us"].to_numpy(), batch["tie"].to_numpy()
-            late = (at < newest) | ((at == newest) & (order <= tie))
-        if late.any():
-            yield self._late(key, batch[late])
-        fresh = batch[~late].reset_index(drop=True)
-        if len(fresh) == 0:
+        passed_ms = timerValues.getCurrentWatermarkInMs()
+        earliest = None
+        for frame in rows:
+            at = frame["event_us"]
+            late = at.isna()
+            if passed_ms > 0:
+                late = late | (at // 1000 <= passed_ms)
+            if late.any():
+                yield self._late(key, frame[late])
+            fresh = frame[~late]
+            if len(fresh):
+                times = fresh["event_us"].astype("int64").tolist()
+                values = fresh[self.sensors].to_numpy(dtype=float).tolist()
+                ties = fresh["tie"].fillna(-1).astype("int64").tolist()
+                self.waiting.appendList(list(zip(times, ties, values)))
+                earliest = min(times) if earliest is None else min(earliest, min(times))
+        if earliest is not None:
+            self._wake(earliest // 1000 - 1)
+
+    def _wake(self, expiry_ms: int) -> None:
+        """Have a timer no later than ``expiry_ms``, and one timer only."""
+        if self.timer.exists():
+            (known,) = self.timer.get()
+            if known <= expiry_ms:
+                return
+            self.handle.deleteTimer(known)
+        self.handle.registerTimer(expiry_ms)
+        self.timer.update((expiry_ms,))
+
+    def handleExpiredTimer(
+        self, key: Any, timerValues: Any, expiredTimerInfo: Any
+    ) -> Iterator[pd.DataFrame]:
+        passed_ms = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        times, ties, values = zip(*self.waiting.get())
+        at, tie = np.array(times, dtype=np.int64), np.array(ties, dtype=np.int64)
+        table = np.array(values, dtype=float).reshape(len(at), len(self.sensors))
+        ready = at // 1000 <= passed_ms
+        order = np.lexsort((tie, at))
+        order = order[ready[order]]
+        rest = np.flatnonzero(~ready)
+        if len(rest):
+            self.waiting.put([(times[i], ties[i], values[i]) for i in rest])
+            self._wake(max(int(at[rest].min()) // 1000 - 1, passed_ms))
+        else:
+            self.waiting.clear()
+        yield from self._emit(key, at[order], tie[order], table[order])
+
+    def _emit(
+        self, key: Any, at: np.ndarray, tie: np.ndarray, table: np.ndarray
+    ) -> Iterator[pd.DataFrame]:
+        if not len(at):
             return
-        values = fresh[self.sensors].to_numpy(dtype=float)
-        series = np.vstack([tail, values])
-        last = fresh.iloc[-1]
-        kept = series[-self.keep :] if self.keep else series[:0]
-        self.state.update(
-            (
-                int(seen + len(fresh)),
-                int(last["event_us"]),
-                int(last["tie"]),
-                [float(v) for v in kept.ravel()],
-            )
-        )
-        yield self._features(key, fresh, series, len(tail), seen)
-
-    def _frame(self, key: Any, rows: pd.DataFrame) -> dict[str, Any]:
-        return {
-            UNIT: np.full(len(rows), key[0], dtype=np.int64),
-            "event_us": rows["event_us"].to_numpy(),
-            "tie": rows["tie"].to_numpy(),
-            **{c: rows[c].to_numpy(dtype=float) for c in self.sensors},
-        }
+        seen, tail = 0, np.empty((0, len(self.sensors)))
+        if self.ring.exists():
+            seen, flat = self.ring.get()
+            tail = np.array(flat, dtype=float).reshape(-1, len(self.sensors))
+        for lo in range(0, len(at), CHUNK_ROWS):
+            part = slice(lo, lo + CHUNK_ROWS)
+            series = np.vstack([tail, table[part]])
+            yield self._features(key, at[part], tie[part], series, len(tail), seen)
+            seen += len(at[part])
+            tail = series[len(series) - min(self.keep, len(series)) :]
+        self.ring.update((int(seen), tail.ravel().tolist()))
 
     def _late(self, key: Any, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(self._frame(key, rows))
-        out[CYCLE] = pd.array([None] * len(out), dtype="Int64")
-        for name in output_schema(self.sensors, self.sizes).names:
+        out = pd.DataFrame({UNIT: pd.array([key[0]] * len(rows), dtype="Int64")})
+        for name in ("event_us", "tie", *self.sensors):
+            out[name] = rows[name].to_numpy()
+        for name in self.names:
             if name not in out:
                 out[name] = None
         out["is_late"] = True
-        return out[output_schema(self.sensors, self.sizes).names]
+        return out[self.names]
 
     def _features(
-        self, key: Any, fresh: pd.DataFrame, series: np.ndarray, old: int, seen: int
+        self, key: Any, at: np.ndarray, tie: np.ndarray, series: np.ndarray, old: int, seen: int
     ) -> pd.DataFrame:
-        out = self._frame(key, fresh)
-        out[CYCLE] = np.arange(seen + 1, seen + len(fresh) + 1)
+        filled = np.nan_to_num(series)
+        out: dict[str, Any] = {
+            UNIT: pd.array([key[0]] * len(at), dtype="Int64"),
+            CYCLE: np.arange(seen + 1, seen + len(at) + 1),
+            "event_us": at,
+            "tie": tie,
+            **{c: filled[old:, i] for i, c in enumerate(self.sensors)},
+        }
         for size in self.sizes:
             for stat, table in zip(("mean", "std"), rolling_statistics(series, size)):
                 for i, c in enumerate(self.sensors):
                     out[rolling_name(c, stat, size)] = table[old:, i]
-        filled = np.nan_to_num(series)
-        out["window"] = [
-            filled[i + 1 - self.window : i + 1].tolist() if i + 1 >= self.window else None
-            for i in range(old, len(series))
-        ]
-        for c in self.sensors:
-            out[c] = np.nan_to_num(out[c])
+        if self.window:
+            flat, width = filled.ravel(), filled.shape[1]  # every window is a view of one array
+            out["window"] = [
+                flat[(i + 1 - self.window) * width : (i + 1) * width] if i + 1 >= self.window else None
+                for i in range(old, len(series))
+            ]
         out["is_late"] = False
-        return pd.DataFrame(out)[output_schema(self.sensors, self.sizes).names]
+        return pd.DataFrame(out)[self.names]
 
     def close(self) -> None:
         pass
 
 
+def as_steps(window: Column, channels: int) -> Column:
+    """A flat window as an array of steps."""
+    steps = F.sequence(F.lit(0), (F.size(window) / channels).cast("int") - 1)
+    return F.when(
+        window.isNotNull(),
+        F.transform(steps, lambda i: F.slice(window, i * channels + 1, F.lit(channels))),
+    )
+
+
 def stream_features(
     readings: DataFrame,
     sensors: list[str],
     time: str = "ts",
     tie: str = "event_id",
     sizes: list[int] = ROLLING_SIZES,
-    window: int = WINDOW_SIZE,
+    window: int | None = None,
 ) -> DataFrame:
-    """Rolling columns, and the raw window where it is full, of every streamed reading.
-
-    A unit's order is serial by nature; what one task holds is the unit's share of a
-    micro-batch, which the source's rate option bounds (``maxFilesPerTrigger`` or
-    ``maxOffsetsPerTrigger``), plus its ring of ``window - 1`` rows.
+    """Rolling columns, and on request the raw window where it is full, of every reading.
+
+    ``readings`` needs a watermark on ``time``; its delay is how late a reading may come
+    without being late, and how long results wait. Readings of the last delay wait in state
+    when the input ends. A unit's order is serial by nature: a task holds the readings of
+    a unit that wait, bounded by the delay and the source's rate option
+    (``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``), plus its ring of ``window - 1`` rows.
+    ``window`` is flat, step by step; see ``as_steps``.
     """
+    # a new expression for the time: the engine would drop late rows, here they are passed on
     keyed = readings.select(
         UNIT,
         F.unix_micros(time).alias("event_us"),
@@ -170,8 +235,8 @@ def stream_features(
         *[F.col(c).cast("double").alias(c) for c in sensors],
     )
     return keyed.groupBy(UNIT).transformWithStateInPandas(
-        statefulProcessor=RingBuffer(sensors, sizes, window),
-        outputStructType=output_schema(sensors, sizes),
+        statefulProcessor=EventTimeRing(sensors, sizes, window),
+        outputStructType=output_schema(sensors, sizes, window),
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,9 +111,62 @@ def test_reconstruction_against_svd(points):
     assert [r["score"] for r in rows] == pytest.approx(list(((centred - back) ** 2).mean(axis=1)), abs=1e-9)
 
 
-def test_reconstruction_limits(points):
-    with pytest.raises(ValueError, match="dimensions"):
-        fit_reconstruction(points, 6000)
+def test_reconstruction_of_ten_thousand_dimensions(spark):
+    """Rows of rank 3 plus small noise: the error is what the noise leaves, whatever the width."""
+    d, n = 10_000, 60
+    rng = np.random.default_rng(8)
+    axes, seeds = rng.normal(size=(3, d)), rng.normal(size=(n, 3)) * [9.0, 5.0, 3.0]
+    x = seeds @ axes + 4.0 + rng.normal(size=(n, d)) * 0.01
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, features array<double>")
+    model = fit_reconstruction(rows.repartition(4), d, latent=3)
+    assert model.components.shape == (d, 3)
+    assert np.allclose(model.components.T @ model.components, np.eye(3), atol=1e-9)
+    centred = x - x.mean(axis=0)
+    vt = np.linalg.svd(centred, full_matrices=False)[2][:3]
+    wanted = ((centred - centred @ vt.T @ vt) ** 2).mean(axis=1)
+    found = {r["id"]: r["score"] for r in reconstruction_error(rows, model).select("id", "score").collect()}
+    assert [found[i] for i in range(n)] == pytest.approx(list(wanted), rel=1e-3)
+    assert max(found.values()) < 2e-4
+
+
+def test_range_finder_close_to_svd_beyond_its_columns(spark):
+    """A slowly falling spectrum in 120 dimensions, of which 8 + 32 are looked at."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 120)) * (0.9 ** np.arange(120))
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "features array<double>")
+    found = reconstruction_error(rows, fit_reconstruction(rows, 120, latent=8)).agg(F.avg("score")).first()[0]
+    centred = x - x.mean(axis=0)
+    best = (np.linalg.svd(centred, compute_uv=False)[8:] ** 2).sum() / x.size
+    assert best <= found <= best * 1.01
+
+
+def test_reconstruction_without_rows(points):
+    with pytest.raises(ValueError, match="no rows"):
+        fit_reconstruction(points.limit(0), 3)
+
+
+def test_stacked_trees_equal_single_walks():
+    rng = np.random.default_rng(1)
+    parts = []
+    for tree in range(6):
+        sample = pd.DataFrame({"tree": tree, "place": range(30), "features": rng.normal(size=(30, 4)).tolist()})
+        parts.append(forests._grow(sample if tree else sample.head(1), 3))
+    nodes = pd.concat(parts, ignore_index=True).sample(frac=1.0, random_state=2)
+    stacked = forests.NodeArrays.of(nodes)
+    stacked.BLOCK = 50
+    x = rng.normal(size=(101, 4))
+    wanted = []
+    for row in x:
+        total = 0.0
+        for _, table in nodes.groupby("tree"):
+            table, at = table.set_index("node"), 0
+            while table.loc[at, "feature"] >= 0:
+                n = table.loc[at]
+                at = int(n["left"] if row[int(n["feature"])] <= n["split"] else n["right"])
+            total += table.loc[at, "path"]
+        wanted.append(total / 6)
+    assert stacked.mean_path(x) == pytest.approx(wanted)
+    assert stacked.mean_path(x[:0]).shape == (0,)
 
 
 def test_ridge_against_least_squares(spark, panel):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cyclewise.operators import drift, split
+from cyclewise.operators import drift, drift_profile, split
 
 
 @pytest.fixture(scope="module")
@@ -88,6 +88,53 @@ def test_statistics_against_numpy(pair, buckets):
     assert found["c"]["p_value"] == 1.0
 
 
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_profile_equals_two_sample_test(pair, tmp_path, spark, ranges):
+    """Batches inside, beside and beyond the reference, with infinite, repeated and missing values."""
+    ref_df, cur_df, _, _ = pair
+    inf = float("inf")
+    odd = spark.createDataFrame(
+        [(-inf, 1.0, 7.0), (inf, None, 7.0), (float("nan"), 1.0, None), (0.0, 1.0, 8.0)], ref_df.schema
+    )
+    shifted = [cur_df.select(*[(F.col(c) + by).alias(c) for c in "abc"]) for by in (1000, -1000)]
+    cases = [(ref_df.unionByName(odd), [cur_df, odd, *shifted, cur_df.limit(0)]), (odd, [cur_df.limit(1)])]
+    for i, (reference, batches) in enumerate(cases if ranges > 1 else [(ref_df, [cur_df])]):
+        path = f"{tmp_path}/{i}"
+        drift_profile.save_profile(reference, ["a", "b", "c"], path, ranges)
+        for batch in batches:
+            got = drift_profile.test_against(spark, path, batch, ["a", "b", "c"], 3)
+            want = drift.ks_test(reference, batch, ["a", "b", "c"], 3)
+            found, wanted = sorted(map(tuple, got.collect())), sorted(map(tuple, want.collect()))
+            assert [r[0] for r in found] == [r[0] for r in wanted]
+            assert [v for r in found for v in r[1:]] == pytest.approx([v for r in wanted for v in r[1:]])
+
+
+def test_batch_opens_only_the_ranges_it_touches(spark, tmp_path):
+    reference = spark.range(10_000).select(F.col("id").cast("double").alias("v"))
+    drift_profile.save_profile(reference, ["v"], str(tmp_path), 20)
+    borders = spark.read.parquet(f"{tmp_path}/borders")
+    assert 10 <= borders.count() <= 20 and borders.agg(F.sum("n")).first()[0] == 10_000
+    batch = reference.filter("v BETWEEN 4000 AND 4001")
+    got = drift_profile.test_against(spark, str(tmp_path), batch, ["v"]).first()
+    assert got["statistic"] == pytest.approx(0.5998)
+    # the reference itself is gone: the profile is all that a batch needs
+    decision = drift_profile.detect_against(spark, str(tmp_path), batch.repartition(3), ["v"]).first()
+    assert decision["num_features"] == 1 and decision["num_features_drifted"] == 0
+
+
+def test_either_side_is_scanned_once(pair, monkeypatch):
+    ref_df, cur_df, _, _ = pair
+    plans = []
+    from cyclewise.operators import prefix
+
+    settled = prefix.settle
+    monkeypatch.setattr(prefix, "settle", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or settled(df))
+    found = drift.compare(ref_df, cur_df, ["a", "b"])
+    assert len(plans) == 1 and plans[0].count("LogicalRDD") + plans[0].count("LocalRelation") == 2
+    rest = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "double, b" not in rest and "side" not in rest
+
+
 def test_p_value_of_known_case(spark):
     """The limit law gives 0.05 at 1.3581."""
     from cyclewise.functions.numeric import kolmogorov_p_value

@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from cyclewise.constants import CYCLE, UNIT
-from cyclewise.operators import drift, features
+from cyclewise.operators import drift, drift_profile, features
 from cyclewise.operators.fleet import fleet_status
 from cyclewise.operators.scoring import Detector
 from cyclewise.operators.unit_order import number_rows
-from cyclewise.sources import stores
-from cyclewise.streaming import jobs
-from cyclewise.streaming.processor import rolling_statistics, stream_features
+from cyclewise.sources import manifest, stores
+from cyclewise.streaming import jobs, status
+from cyclewise.streaming.processor import as_steps, rolling_statistics, stream_features
 
 SCHEMA = "unit_id long, event_id long, ts timestamp, sensor_2 double, sensor_3 double"
 
@@ -37,8 +37,9 @@ def source(spark, tmp_path_factory):
     return folder, df.persist()
 
 
-def stream(spark, folder, files=1):
-    return jobs.in_event_time(jobs.read_stream(spark, folder, SCHEMA, files_per_trigger=files))
+def stream(spark, folder, files=1, delay="1 hour"):
+    read = jobs.read_stream(spark, folder, SCHEMA, files_per_trigger=files)
+    return jobs.in_event_time(read, delay=delay)
 
 
 def by_key(rows, *names):
@@ -49,7 +50,9 @@ def by_key(rows, *names):
 def test_stream_features_equal_batch(spark, source, files):
     folder, df = source
     sensors = ["sensor_2", "sensor_3"]
-    out = jobs.drain(stream_features(stream(spark, folder, files), sensors, window=12))
+    timed = stream(spark, folder, files, "0 seconds")
+    out = jobs.drain(stream_features(timed, sensors, window=12))
+    out = out.withColumn("window", as_steps(F.col("window"), 2))
     assert out.filter("is_late").count() == 0
     numbered = number_rows(df, ["ts", "event_id"])
     batch = features.add_rolling_features(numbered, sensors, position=CYCLE)
@@ -75,7 +78,7 @@ def test_restart_goes_on_and_late_rows_stay_out(spark, source, tmp_path):
     def feed(rows):
         rows.coalesce(1).write.mode("append").parquet(folder)
         streamed = stream_features(
-            jobs.in_event_time(jobs.read_stream(spark, folder, SCHEMA), delay="10 days"),
+            jobs.in_event_time(jobs.read_stream(spark, folder, SCHEMA), delay="0 seconds"),
             ["sensor_3"],
             window=5,
         )
@@ -97,6 +100,46 @@ def test_restart_goes_on_and_late_rows_stay_out(spark, source, tmp_path):
         assert found[k][name] == pytest.approx(wanted[k][name], abs=1e-9)
 
 
+@pytest.mark.parametrize("runs", [1, 3])
+def test_shuffled_arrival_within_the_delay_equals_batch(spark, source, tmp_path, runs):
+    """Readings reach the stream in random order, up to 60 seconds late."""
+    _, df = source
+    jitter = F.pmod(F.xxhash64("event_id"), F.lit(60))
+    placed = df.withColumn("place", F.floor((F.unix_seconds("ts") + jitter - 1_700_000_000) / 50))
+    for place in sorted(r[0] for r in placed.select("place").distinct().collect()):
+        part = placed.filter(F.col("place") == place).drop("place").orderBy(F.rand(3))
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        if runs > 1 or place == 5:
+            timed = stream(spark, f"{tmp_path}/in", 1, "120 seconds")
+            featured = stream_features(timed, ["sensor_2"], sizes=[5])
+            jobs.start(featured, jobs.to_parquet(f"{tmp_path}/out"), f"{tmp_path}/state").awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.filter("is_late").count() == 0
+    newest = df.agg(F.max(F.unix_seconds("ts"))).first()[0]
+    numbered = number_rows(df.filter(F.unix_seconds("ts") <= newest - 120), ["ts", "event_id"])
+    batch = features.add_rolling_features(numbered, ["sensor_2"], [5], position=CYCLE)
+    found, wanted = by_key(out.collect(), UNIT, CYCLE), by_key(batch.collect(), UNIT, CYCLE)
+    assert found.keys() == wanted.keys() and len(found) > 100
+    for k, r in wanted.items():
+        assert found[k]["tie"] == r["event_id"]
+        for name in ("sensor_2_rolling_mean_5", "sensor_2_rolling_std_5"):
+            assert found[k][name] == pytest.approx(r[name], abs=1e-9)
+
+
+def test_rows_without_a_time_or_unit(spark, tmp_path):
+    rows = [(1, 1, 10, 1.0), (1, 2, None, 2.0), (None, 3, 20, 3.0), (None, 4, 5, None), (1, None, 10, 4.0)]
+    df = spark.createDataFrame(rows, "unit_id long, event_id long, s long, sensor_2 double")
+    df = df.select("unit_id", "event_id", F.timestamp_seconds("s").alias("ts"), "sensor_2", F.lit(0.0).alias("sensor_3"))
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    out = jobs.drain(stream_features(stream(spark, f"{tmp_path}/in", 1, "0 seconds"), ["sensor_2"], window=2))
+    late = out.filter("is_late").collect()
+    assert [(r["tie"], r["sensor_2"]) for r in late] == [(2, 2.0)]
+    found = {(r[UNIT], r[CYCLE]): (r["tie"], r["sensor_2"], r["window"]) for r in out.filter("NOT is_late").collect()}
+    assert found == {
+        (1, 1): (-1, 4.0, None), (1, 2): (1, 1.0, [4.0, 1.0]), (None, 1): (4, 0.0, None), (None, 2): (3, 3.0, [0.0, 3.0]),
+    }
+
+
 def test_rolling_statistics():
     series = np.array([[1.0], [np.nan], [3.0], [8.0]])
     mean, std = rolling_statistics(series, 3)
@@ -155,6 +198,83 @@ def test_status_equals_batch(spark, source):
     assert {r["status"] for r in found.collect()} == {"failed"}
 
 
+def test_status_log_writes_changes_only(spark, source, tmp_path):
+    folder, df = source
+    for mode in ("first", "again"):  # the second start finds nothing new
+        changes = status.status_changes(scored(stream(spark, folder)), "ts")
+        jobs.start(changes, status.to_log(f"{tmp_path}/log"), f"{tmp_path}/state", "update").awaitTermination()
+    wanted = sorted(map(tuple, fleet_status(scored(df)).collect()))
+    assert sorted(map(tuple, status.current_status(spark, f"{tmp_path}/log").collect())) == wanted
+    log = manifest.read_batches(spark, f"{tmp_path}/log", status.LOGGED)
+    assert log.count() > log.select("engine_id").distinct().count()
+    # past its life an engine changes no more
+    last = log.groupBy("engine_id").agg(F.max("cycle").alias("c")).collect()
+    assert all(r["c"] <= 350 for r in last)
+    status.compact(spark, f"{tmp_path}/log")
+    assert len(manifest.committed(spark, f"{tmp_path}/log")) == 1
+    assert sorted(map(tuple, status.current_status(spark, f"{tmp_path}/log").collect())) == wanted
+
+
+def test_silent_engines_leave_the_state_not_the_log(spark, tmp_path):
+    kind = "engine_id string, cycle long, max_cycle long, anomaly_score double, is_anomaly boolean, ts timestamp"
+
+    def feed(*rows):
+        df = spark.createDataFrame([(e, c, 10, 0.1, False, s) for e, c, s in rows], kind.replace("timestamp", "long"))
+        df.withColumn("ts", F.timestamp_seconds("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        read = jobs.in_event_time(jobs.read_stream(spark, f"{tmp_path}/in", kind), delay="0 seconds")
+        changes = status.status_changes(read, "ts", 60_000)
+        jobs.start(changes, status.to_log(f"{tmp_path}/log"), f"{tmp_path}/state", "update").awaitTermination()
+
+    feed(("a", 5, 1000), ("b", 5, 1000))
+    feed(("b", 6, 1050), ("c", 1, 1061))  # the watermark passes a's time to live
+    feed(("a", 4, 1080))  # a is new to the state, so an older cycle counts as a change
+    log = manifest.read_batches(spark, f"{tmp_path}/log", status.LOGGED)
+    assert sorted((r[0], r[1]) for r in log.select("engine_id", "cycle").collect()) == [
+        ("a", 4), ("a", 5), ("b", 5), ("b", 6), ("c", 1)
+    ]
+
+
+def test_failure_is_final(spark, tmp_path):
+    kind = "engine_id string, cycle long, max_cycle long, anomaly_score double, is_anomaly boolean"
+
+    def feed(*rows):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        read = jobs.read_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], kind).schema)
+        changes = status.status_changes(read)
+        jobs.start(changes, status.to_log(f"{tmp_path}/log"), f"{tmp_path}/state", "update").awaitTermination()
+        return {r[0]: tuple(r)[1:] for r in status.current_status(spark, f"{tmp_path}/log").collect()}
+
+    assert feed(("a", 95, 100, 0.5, True), ("b", 1, 10, 0.1, False), ("d", None, 10, 0.1, False)) == {
+        "a": (95, 100, 95.0, 0.5, "critical"), "b": (1, 10, 10.0, 0.1, "healthy"),
+    }
+    assert feed(("a", 101, 100, 0.0, False), ("c", 12, 10, 0.2, True))["a"] == (95, 100, 95.0, 0.5, "failed")
+    now = feed(("a", 96, 100, 0.0, False), ("b", 1, 10, 0.9, True))
+    assert now["a"] == (96, 100, 96.0, 0.0, "failed")
+    assert now["b"] == (1, 10, 10.0, 0.1, "healthy") and now["c"] == (None, None, None, None, "failed")
+
+
+def test_uncommitted_batch_is_invisible_then_replaced(spark, tmp_path):
+    path, schema = f"{tmp_path}/store", spark.range(1).withColumn("day", F.lit(1)).schema
+    rows = spark.range(10).withColumn("day", (F.col("id") % 2).cast("int"))
+    manifest.write_batch(rows, path, 0, ["day"])
+    manifest.write_data(rows.withColumn("id", F.col("id") + 100), path, 1, ["day"])  # dies before its commit
+
+    def ids(condition="true"):
+        found = manifest.read_batches(spark, path, schema).filter(condition).collect()
+        return sorted(r["id"] for r in found)
+
+    assert ids() == list(range(10))
+    manifest.write_batch(rows.filter("id < 3").withColumn("id", F.col("id") + 200), path, 1, ["day"])
+    assert ids() == [*range(10), 200, 201, 202]
+    manifest.write_batch(rows.filter("id < 2"), path, 0, ["day"])  # a repeated batch replaces its own
+    assert ids() == [0, 1, 200, 201, 202] and ids("day = 1") == [1, 201]
+    manifest.merge_batches(spark, path, schema, 1, ["day"])
+    assert ids() == [0, 1, 200, 201, 202] and list(manifest.committed(spark, path)) == [1]
+    assert manifest.read_batches(spark, f"{tmp_path}/none", schema).count() == 0
+    plan = manifest.read_batches(spark, path, schema).filter("day = 1")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
 def test_repeats_are_dropped(spark, source):
     folder, _ = source
     doubled = stream(spark, folder).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -185,7 +305,8 @@ def test_detection_job(spark, source, tmp_path):
 def test_drift_per_batch(spark, source, tmp_path):
     folder, df = source
     shifted = df.withColumn("sensor_3", F.col("sensor_3") + 5)
-    handler = jobs.drift_sink(shifted, ["sensor_3"], f"{tmp_path}/drift")
+    drift_profile.save_profile(shifted, ["sensor_3"], f"{tmp_path}/profile")
+    handler = jobs.drift_sink(f"{tmp_path}/profile", ["sensor_3"], f"{tmp_path}/drift")
     jobs.start(stream(spark, folder), handler, f"{tmp_path}/state").awaitTermination()
     decisions = spark.read.parquet(f"{tmp_path}/drift")
     assert decisions.count() == 5 and decisions.filter("NOT is_drifted").count() == 0

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cyclewise.operators import features, panel, quality
+from cyclewise.operators import features, panel, quality, unit_order
 from cyclewise.operators.unit_order import (
     Layout,
     number_rows,
@@ -127,7 +127,35 @@ def test_chunk_must_exceed_lookback(numbered):
         open_chunks(numbered, 30, layout=Layout(30))
 
 
-def test_slices_need_a_number(spark):
-    df = spark.createDataFrame([(1, "a")], "unit_id long, s string")
-    with pytest.raises(TypeError, match="cannot slice"):
-        number_rows(df, ["s"])
+def test_any_order_can_be_cut(spark):
+    rows = [(1, f"{i:03d}") for i in range(300)] + [(2, "x"), (None, "a"), (None, None)]
+    df = spark.createDataFrame(rows, "unit_id long, s string")
+    numbered = number_rows(df, ["s"], remaining="left", layout=Layout(40))
+    found = {(r[0], r[1]): (r[2], r[3]) for r in numbered.collect()}
+    assert all(found[1, f"{i:03d}"] == (i + 1, 299 - i) for i in range(300))
+    assert found[2, "x"] == (1, 0) and found[None, None] == (1, 1) and found[None, "a"] == (2, 0)
+
+
+@pytest.mark.parametrize("burst", ["one leading value", "one time", "no unit"])
+def test_a_hot_unit_is_spread_whatever_its_order(spark, burst):
+    """Bursts, one leading value for all rows, ties in the whole order, and rows without a unit."""
+    limit, n = 500, 12_000
+    at = {"one leading value": F.lit(5), "one time": F.when(F.col("id") < 30, F.col("id")).otherwise(10**9)}
+    df = spark.range(n).select(
+        F.lit(None if burst == "no unit" else 7).cast("long").alias("unit_id"),
+        at.get(burst, F.col("id") % 3).cast("long").alias("at"),
+        (F.col("id") if burst == "one leading value" else F.lit(0)).alias("event_id"),
+        F.col("id").alias("sensor_2"),
+    )
+    layout = Layout.measured(df, hot_rows=limit)
+    placed = unit_order.ordered_ranges(df, ["unit_id", "at", "event_id"], layout.ranges)
+    tasks = placed.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("count")).first()
+    assert tasks[0] <= 2 * limit and tasks[1] >= n / (2 * limit)
+    numbered = number_rows(df, ["at", "event_id"], layout=layout)
+    assert sorted(r[0] for r in numbered.select("time_cycles").collect()) == list(range(1, n + 1))
+    if burst == "one leading value":
+        assert numbered.filter("time_cycles <> event_id + 1").count() == 0
+    before = previous_value(df.withColumn("time_cycles", F.col("at")), "time_cycles", "b", layout=layout)
+    assert before.filter("b IS NULL").count() == 1 and before.filter("b > time_cycles").count() == 0
+    steps = before.filter("b < time_cycles").count()
+    assert steps == df.select("at").distinct().count() - 1
