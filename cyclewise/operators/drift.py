@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from cyclewise.constants import DRIFT_P_VALUE, DRIFT_SHARE
 from cyclewise.functions.numeric import is_missing, kolmogorov_p_value
 from cyclewise.functions.small_sample import exact_p_values
-from cyclewise.operators.prefix import BUCKET, running_totals, value_counts
+from cyclewise.operators.prefix import running_totals, value_counts
 
 #: Preset report: a feature drifted from this normalised distance on, the data set from
 #: this share of its features on.
@@ -38,17 +38,16 @@ def unpivoted(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
     return df.select(*keep, F.inline(entries)).filter(~is_missing(F.col("value")))
 
 
-def _ecdf(
+def _counts(
     reference: DataFrame, current: DataFrame, columns: list[str], buckets: int | None
 ) -> DataFrame:
-    """Both empirical distributions at every distinct value of every feature.
+    """Rows of both sides at every distinct value of every feature, settled.
 
     Either side is scanned once, to count its values; everything later reads the counts.
     """
     long = unpivoted(stack_sides(reference, current, columns), columns, "side")
     sides = {"ref": F.count_if(F.col("side") == 0), "cur": F.count_if(F.col("side") == 1)}
-    counts = value_counts(long, "value", sides, buckets, ["feature"])
-    return running_totals(counts, "value", ["ref", "cur"], ["feature"]).withColumn("gap", _gap())
+    return value_counts(long, "value", sides, buckets, ["feature"])
 
 
 def _gap() -> Column:
@@ -79,7 +78,8 @@ def ks_test(
     product of both sizes and is meant for samples the caller knows to be small.
     """
     columns = columns or common_columns(reference, current)
-    return tested(_ecdf(reference, current, columns, buckets), method)
+    counts = _counts(reference, current, columns, buckets)
+    return tested(running_totals(counts, "value", ["ref", "cur"], ["feature"]), method)
 
 
 def _both_sided(grouped: GroupedData, *measures: Column) -> DataFrame:
@@ -108,40 +108,22 @@ def compare(
 ) -> DataFrame:
     """Test and distance per feature from one pass.
 
-    The first Wasserstein distance is the area between the two distributions. The
-    step behind a value reaches to the next value, which for the last value of a
-    range is the first one of the next range that has values. The normed distance is
-    over the deviation of the reference, which follows from the counts as well: their
-    mean first, then the squares around it.
+    The first Wasserstein distance is the area between the two distributions; the step
+    behind a value reaches to the next value. The normed distance is over the deviation of
+    the reference, which follows from the counts as well: their mean first, then the
+    squares around it.
     """
     columns = columns or common_columns(reference, current)
-    ecdf = _ecdf(reference, current, columns, buckets)
-    key = ["feature", BUCKET]
-    per_range = ecdf.groupBy(*key).agg(
-        F.min("value").alias("_first"),
-        F.sum(F.col("value") * F.col("ref")).alias("_sum"),
-        F.max("ref_total").alias("_n"),
-    )
-    whole = Window.partitionBy("feature")
-    facts = per_range.select(
-        *key,
-        F.lead("_first").over(whole.orderBy(BUCKET)).alias("_next_range"),
-        F.try_divide(F.sum("_sum").over(whole), F.max("_n").over(whole)).alias("_mean"),
-    )
-    upcoming = F.coalesce(
-        F.lead("value").over(Window.partitionBy(*key).orderBy("value")), F.col("_next_range")
-    )
+    counts = _counts(reference, current, columns, buckets)
+    ranked = running_totals(counts, "value", ["ref", "cur"], ["feature"], "_next")
+    weighted = F.sum(F.col("value") * F.col("ref"))
+    means = counts.groupBy("feature").agg(F.try_divide(weighted, F.sum("ref")).alias("_mean"))
     off = F.col("value") - F.col("_mean")
-    stepped = ecdf.join(F.broadcast(facts), key).select(
-        "*",
-        (F.col("gap") * (upcoming - F.col("value"))).alias("area"),
-        (F.col("ref") * off * off).alias("squares"),
-    )
     measured = _both_sided(
-        stepped.groupBy("feature"),
-        F.max("gap").alias("statistic"),
-        F.coalesce(F.sum("area"), F.lit(0.0)).alias("distance"),
-        F.sqrt(F.try_divide(F.sum("squares"), F.max("ref_total"))).alias("spread"),
+        ranked.join(F.broadcast(means), "feature").groupBy("feature"),  # one row per feature
+        F.max(_gap()).alias("statistic"),
+        F.coalesce(F.sum(_gap() * (F.col("_next") - F.col("value"))), F.lit(0.0)).alias("distance"),
+        F.sqrt(F.try_divide(F.sum(F.col("ref") * off * off), F.max("ref_total"))).alias("spread"),
     )
     normed = F.col("distance") / F.greatest(F.col("spread"), F.lit(0.001))
     return _p_values(measured.withColumn("normed_distance", normed), method).drop("spread")

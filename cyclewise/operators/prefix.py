@@ -32,27 +32,39 @@ def in_ranges(counts: DataFrame, order: list[str], buckets: int | None = None) -
 
 
 def running_totals(
-    counts: DataFrame, value: str, amounts: list[str], group: list[str] | None = None
+    counts: DataFrame,
+    value: str,
+    amounts: list[str],
+    group: list[str] | None = None,
+    following: str | None = None,
 ) -> DataFrame:
     """Add ``{a}_upto`` (inclusive) and ``{a}_total`` per group for every amount.
 
-    ``counts`` has one row per group and value, with its bucket.
+    ``counts`` has one row per group and value, with its range. ``following`` names a column
+    for the next value of the group; behind the last value of a range that is the first one
+    of the next range that has values.
     """
     group = group or []
     key = [*group, BUCKET]
-    totals = counts.groupBy(*key).agg(*[F.sum(a).alias(a) for a in amounts])
+    totals = counts.groupBy(*key).agg(
+        *[F.sum(a).alias(a) for a in amounts], F.min(value).alias("_first")
+    )
     whole = Window.partitionBy(*group)
     before = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *key,
         *[F.coalesce(F.sum(a).over(before), F.lit(0)).alias(f"_{a}_before") for a in amounts],
         *[F.sum(a).over(whole).alias(f"{a}_total") for a in amounts],
+        F.lead("_first").over(whole.orderBy(BUCKET)).alias("_next_range"),
     )
-    inside = Window.partitionBy(*key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ordered = Window.partitionBy(*key).orderBy(value)
+    inside = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    upcoming = F.coalesce(F.lead(value).over(ordered), F.col("_next_range"))
     return counts.join(F.broadcast(offsets), key).select(
         *counts.columns,
         *[(F.col(f"_{a}_before") + F.sum(a).over(inside)).alias(f"{a}_upto") for a in amounts],
         *[f"{a}_total" for a in amounts],
+        *([upcoming.alias(following)] if following else []),
     )
 
 
