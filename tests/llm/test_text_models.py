@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -25,6 +26,121 @@ def test_main_text_equals_marked_article(spark, sf_dir):
         assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
+def test_article_is_found_without_its_tags(spark, sf_dir, monkeypatch):
+    """Element names that tell the parts apart become div: paths and lengths decide alone."""
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    plain = {k: re.sub(r"<(/?)(article|nav|header|footer|aside|main)\b", r"<\1div", h) for k, h in pages.items()}
+    right = {k: tag_paths.main_text(plain[k]) == tag_paths.main_text(pages[k]) for k in pages}
+    assert sum(right.values()) >= 0.9 * len(pages)
+    assert all(right[k] for k in pages if len(tag_paths.main_text(pages[k])) > 300)
+    monkeypatch.setattr(tag_paths, "PATH_SHARE", 0.0)
+    assert sum(tag_paths.main_text(plain[k]) != tag_paths.main_text(pages[k]) for k in pages) > 0.9 * len(pages)
+
+
+LONG = "A long story, told in full; with many words, and signs. It goes on, and on, and it does not end here."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article class=a><h1>Title</h1><p>{0}</p><p>{0}</p></article><article class=a><p>Other story teaser.</p></article>",
+        "<div><a href=x>Home</a></div><div><h1>Title</h1><p>{0}</p><p>{0}</p></div><div><a>About</a></div>",
+        "<body><div><ul><li><a>One</a><li><a>Two</a></ul></div><div><h1>Title</h1><section><p>{0}</p></section>"
+        "<section><p>{0}</p></section></div><div>&copy; somebody, 2020. All rights, reserved.</div>",
+        "<div><h1>Title</h1><div class=share>Share this, now.</div><p>{0}</p><p>{0}</p></div><div>Short end.</div>",
+        "<b><i><h1>Title</h1></i></b><p>{0}<p>{0}<div class='comment'><p>{0}</p></div>",
+    ],
+)
+def test_parts_beside_the_article(page):
+    assert tag_paths.main_text(page.format(LONG)) == f"Title\n\n{LONG}\n\n{LONG}"
+
+
+def test_short_parts_of_an_article_stay():
+    page = f"<div><h1>T</h1><p>{LONG}</p><ul><li>x</li><li>y</li></ul><section><p>Yes.</p></section><p>{LONG}</p></div><div>No.</div>"
+    assert tag_paths.main_text(page) == f"T\n\n{LONG}\n\nx\n\ny\n\nYes.\n\n{LONG}"
+
+
+def _naive_scores(page):
+    """The five steps on paths as strings, with ancestors walked for every block."""
+    blocks = tag_paths.blocks_of(page)
+
+    def line(e):
+        return [] if e is None else [*line(e.parent), e]
+
+    def path(e):
+        return tuple(x.path for x in line(e) if x.block is x)
+
+    paths = [b.path for b in blocks]
+    marks = [len(re.findall(r"[.,;:!?…。，；：！？¿¡]", b.text)) for b in blocks]
+
+    def mean(values, p):
+        own = [v for v, q in zip(values, paths) if q == p]
+        return sum(own) / len(own)
+
+    final = []
+    own = []
+    for i, b in enumerate(blocks):
+        near = [(j, np.exp(-((i - j) ** 2) / 2)) for j in range(len(blocks)) if abs(i - j) <= 2]
+        weight = [
+            w * (1 if paths[i] == paths[j] else 0.5 if blocks[j].element.above == b.element.above else 0.1) for j, w in near
+        ]
+        length = sum(w * mean([len(x.text) for x in blocks], paths[j]) for w, (j, _) in zip(weight, near)) / sum(weight)
+        signs = sum(w * mean(marks, paths[j]) for w, (j, _) in zip(weight, near)) / sum(weight)
+        links = sum(x.linked for x, q in zip(blocks, paths) if q == paths[i])
+        chars = sum(len(x.text) for x, q in zip(blocks, paths) if q == paths[i])
+        factor = 0.0 if b.element.aside else 1 - (1 - tag_paths.LINK_FACTOR) * links / chars
+        own.append(factor * min(length * (1 + signs), len(b.text) * (1 + marks[i])))
+
+    def node(e):
+        inside = [(len(b.text), o) for b, o in zip(blocks, own) if e in line(b.element) and not b.element.aside]
+        score = 0.0
+        if inside and e.tag not in ("", "html", "body"):
+            score = sum(n * o for n, o in inside) / sum(n for n, _ in inside)
+        if e.parent is not None and not e.aside and e.tag != "article":
+            score = max(score, 0.5 * node(e.parent))
+        return score
+
+    for b, o in zip(blocks, own):
+        final.append(max(o, node(b.element)) if not b.element.aside else o)
+    for i in reversed(range(len(blocks) - 1)):
+        a, b = blocks[i].element, blocks[i + 1].element
+        if a.tag in ("h1", "h2") and not a.aside and a.above == b.above:
+            final[i] = max(final[i], 0.5 * final[i + 1])
+    return final
+
+
+def test_node_scores_equal_naive_ones():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        page, open_tags = "", []
+        for _ in range(int(rng.integers(5, 40))):
+            kind = rng.integers(0, 4)
+            if kind == 0:
+                tag = str(rng.choice(["div", "p", "ul", "li", "section", "article", "h1", "h2", "div class=ad", "div class=x", "a", "b"]))
+                page += f"<{tag}>"
+                open_tags.append(tag.split()[0])
+            elif kind == 1 and open_tags:
+                page += f"</{open_tags.pop()}>"
+            else:
+                page += " ".join(rng.choice(["one", "two,", "three.", "four!"], int(rng.integers(1, 12)))) + " "
+        elements, blocks = tag_paths._read(page)
+        assert tag_paths.node_scores(elements, blocks)[0] == pytest.approx(_naive_scores(page))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "deep, text.", "<div><p>" * 50_000 + "x", "<span>" * 50_000 + "<p></p>" * 50_000,
+        "<div>" * 50_000 + "</span>" * 100_000, "<p><table><td>" + "<b>" * 50_000 + "<p>x</p>" * 50_000,
+        "<a '" * 100_000, "<!--" * 100_000, "<li>" * 100_000, "<" * 300_000, "<p>" + "word, " * 300_000,
+    ],
+)
+def test_hostile_pages_take_linear_time(page):
+    started = time.perf_counter()
+    tag_paths.main_text(page)
+    assert time.perf_counter() - started < 5
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
