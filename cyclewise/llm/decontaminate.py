@@ -15,9 +15,14 @@ by sums over whole arrays. The others run block-max WAND: a pivot segment is fou
 largest impacts, checked against the maxima of the blocks around it, skipped by blocks or
 scored. All segments that reach the threshold are retrieved, not the best few.
 
-Verification. A retrieved segment counts if the passage holds at least ``OVERLAP`` of the
-word n-grams of its question and of its answer: the last sentence is the answer, the rest the
-question; a single sentence is both.
+Verification. The last sentence of an item is its answer, the rest its question; a single
+sentence is both. An item of one segment counts if a passage holds at least ``OVERLAP`` of the
+word n-grams of its question and of its answer. A longer item of one sentence is cut into
+segments that count like items. The question and the answer of any other longer item are cut
+apart, so no segment mixes them; the item counts if the document's passages hold at least
+``OVERLAP`` of a segment of its question and of all of its answer. Items of fewer than
+``LEAST_WORDS`` words say nothing about a leak: they are not searched but listed by
+``short_items``.
 
 Defined results: null texts, and items without a word, match nothing; repeated rows give
 repeated rows, repeated items one row per item; empty tables give an empty table; other
@@ -45,6 +50,7 @@ THRESHOLD = 0.6
 OVERLAP = 0.6
 SEGMENT_WORDS = 64
 GRAM = 5
+LEAST_WORDS = 5
 #: Segments in a block of the index, and of the block table.
 BLOCK = 4
 TABLE_BYTES = 64 * 1024 * 1024
@@ -66,30 +72,46 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-@dataclass
+@dataclass(eq=False)
 class Segment:
+    """Words of an item; ``whole`` if it is all of the item, else a part of question or answer."""
+
     item_id: int
     question: list[str]
     answer: list[str]
+    whole: bool = True
+    entry: int = 0
 
     @property
     def words(self) -> list[str]:
         return self.question + self.answer if self.answer is not self.question else self.question
 
 
+def _pieces(words: list[str]) -> list[list[str]]:
+    n = math.ceil(len(words) / SEGMENT_WORDS)
+    cuts = [len(words) * k // n for k in range(n + 1)]
+    return [words[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def segments_of(item_id: int, text: str) -> list[Segment]:
-    """Segments of an item; the answer of each is its last sentence."""
+    """Segments of an item; none for one of fewer than ``LEAST_WORDS`` words."""
     sentences = [w for w in (words_of(s) for s in SENTENCE.split(text)) if w]
-    if sum(map(len, sentences)) > SEGMENT_WORDS:
-        flat = [w for s in sentences for w in s]
-        n = math.ceil(len(flat) / SEGMENT_WORDS)
-        cuts = [len(flat) * k // n for k in range(n + 1)]
-        return [Segment(item_id, part, part) for part in (flat[a:b] for a, b in zip(cuts, cuts[1:]))]
-    if not sentences:
+    size = sum(map(len, sentences))
+    if size < LEAST_WORDS:
         return []
-    if len(sentences) == 1:
-        return [Segment(item_id, sentences[0], sentences[0])]
-    return [Segment(item_id, [w for s in sentences[:-1] for w in s], sentences[-1])]
+    question, answer = [w for s in sentences[:-1] for w in s], sentences[-1]
+    if size <= SEGMENT_WORDS:
+        return [Segment(item_id, question or answer, answer)]
+    if not question:
+        return [Segment(item_id, part, part) for part in _pieces(answer)]
+    parts = [Segment(item_id, part, [], False) for part in _pieces(question)]
+    return parts + [Segment(item_id, [], part, False) for part in _pieces(answer)]
+
+
+def short_items(benchmark: DataFrame) -> DataFrame:
+    """Items that are too short to be searched, null texts included."""
+    few = F.udf(lambda text: sum(len(words_of(s)) for s in SENTENCE.split(text or "")) < LEAST_WORDS, "boolean")
+    return benchmark.filter(few("text"))
 
 
 @dataclass
@@ -113,6 +135,10 @@ class Index:
 
     def __init__(self, segments: list[Segment]):
         self.segments = segments
+        #: n-grams of the answer of every entry, which is one text of an item.
+        self.grams: Counter[int] = Counter()
+        for s in segments:
+            self.grams[s.entry] += n_grams(s.answer)
         counts = [Counter(s.words) for s in segments]
         seen = Counter(w for c in counts for w in c)
         mean = sum(len(s.words) for s in segments) / max(1, len(segments))
@@ -196,6 +222,10 @@ class Index:
         return found
 
 
+def n_grams(part: list[str]) -> int:
+    return len(grams(part, min(GRAM, len(part)))) if part else 0
+
+
 def overlap(part: list[str], passage: list[str], known: dict[int, set]) -> float:
     """Share of the n-grams of ``part`` that the passage holds."""
     n = min(GRAM, len(part))
@@ -245,18 +275,38 @@ def match(index: Index, texts: list[str], threshold: float, least: float) -> lis
     sizes = np.array([len(w) for w in words], np.int64)
     ids = np.array([number.get(w, none) for part in words for w in part], np.int64)
     items: dict[tuple[int, int], list] = {}
+    parts: dict[tuple[int, int], dict[int, tuple]] = {}
+
+    def keep(text: int, item: int, lo: int, matches: int, found: list[float]) -> None:
+        row = items.setdefault((text, item), [0, lo, 0.0, 0.0, 0.0])
+        row[0] += matches
+        row[2:] = max(row[2:], found)
+
     for text, lo in _open_passages(index, ids, sizes, threshold).tolist():
         passage = words[text][lo : lo + index.passage]
         known: dict[int, set] = {}
         terms = sorted({number[w] for w in passage if w in number})
         for segment_at, score in index.search(terms, threshold):
-            segment = index.segments[segment_at]
-            question = overlap(segment.question, passage, known)
-            answer = overlap(segment.answer, passage, known)
-            if min(question, answer) >= least:
-                row = items.setdefault((text, segment.item_id), [0, lo, 0.0, 0.0, 0.0])
-                row[0] += 1
-                row[2:] = max(row[2:], [score, question, answer])
+            s = index.segments[segment_at]
+            shares = [overlap(part, passage, known) if part else 0.0 for part in (s.question, s.answer)]
+            if s.whole:
+                if min(shares) >= least:
+                    keep(text, s.item_id, lo, 1, [score, *shares])
+            else:
+                best = parts.setdefault((text, s.entry), {})
+                best[segment_at] = max(best.get(segment_at, (0.0, 0.0)), (max(shares), score, lo))
+    for (text, entry), best in parts.items():
+        shares = [0.0, 0.0]
+        for segment_at, (share, _, _) in best.items():
+            s = index.segments[segment_at]
+            if s.question:
+                shares[0] = max(shares[0], share)
+            else:
+                shares[1] += share * n_grams(s.answer) / index.grams[entry]
+        if min(shares) >= least:
+            item = index.segments[next(iter(best))].item_id
+            first = min(lo for _, _, lo in best.values())
+            keep(text, item, first, len(best), [max(score for _, score, _ in best.values()), *shares])
     return [(*key, *row) for key, row in items.items()]
 
 
@@ -267,7 +317,12 @@ def indexes_of(benchmark: DataFrame, limit: int = MAX_INDEX_BYTES) -> Iterator[I
     parts = max(1, math.ceil(size / limit))
     for part in range(parts):
         own = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part) if parts > 1 else rows
-        yield Index([s for r in own.orderBy("item_id", "text").toLocalIterator() for s in segments_of(r[0], r[1])])
+        segments = []
+        for entry, row in enumerate(own.orderBy("item_id", "text").toLocalIterator()):
+            for segment in segments_of(row[0], row[1]):
+                segment.entry = entry
+                segments.append(segment)
+        yield Index(segments)
 
 
 def find_leaks(

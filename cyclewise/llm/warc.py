@@ -4,7 +4,7 @@ Writing. Every record is one gzip member (or plain text), so a damaged member co
 record. Spark's text writer stores the members: its line separator is the NUL that ends
 each member, as the last byte of a member is the high byte of a length; a record of
 16 MiB or more gets an empty member behind it, which ends with NUL too. Files are written
-by Spark to any file system and roll after ``RECORDS_PER_FILE`` records.
+by Spark to any file system; a task closes an archive by its bytes (``BYTES_PER_FILE``).
 
 Equal payloads are stored once. The winner of a payload is found by two aggregates, per
 digest and salt, then per digest, and comes back by a join on digest and salt, so a
@@ -35,15 +35,18 @@ from pyspark.sql import functions as F
 
 from cyclewise.llm.common import partitions_of, prepare, scratch
 
+#: An archive is closed behind the record that brings it to so many bytes, or so many records.
+BYTES_PER_FILE = 256 * 1024 * 1024
 RECORDS_PER_FILE = 5_000
 #: Payloads of at least so many bytes may become revisit records.
 REVISIT_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = b"WARC/1."
+VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 MAGIC = b"\x1f\x8b\x08"
+HEADER_END = b"\r\n\r\n"
 EMPTY_MEMBER = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
-HEADER_LIMIT = 65_536
 
 RECORD_SCHEMA = (
     "kind string, path string, offset long, length long, reason string, page_id long, url string, "
@@ -100,28 +103,41 @@ def with_winners(pages: DataFrame, salts: int, revisit_bytes: int = REVISIT_BYTE
     return joined.withColumn("winner", F.when(own, F.col("page_id")).otherwise(F.col("winner")))
 
 
-def _pack(batches: Iterator[pa.RecordBatch], compress: bool) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], compress: bool, limit: int) -> Iterator[pa.RecordBatch]:
+    archive, records, size = 0, 0, 0
     for batch in batches:
-        out = []
+        out, places = [], []
         columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "sha", "winner"))
         for page_id, url, payload, sha, winner in zip(*columns):
             revisit = winner is not None and page_id != winner
             data = record_bytes(page_id, url, payload, winner, revisit, _base32(sha))
             out.append(member(data) if compress else data[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            places.append(archive)
+            records, size = records + 1, size + len(out[-1]) + 1
+            if size >= limit or records >= RECORDS_PER_FILE:
+                archive, records, size = archive + 1, 0, 0
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(places, pa.int32())], ["value", "archive"])
 
 
 def write_warc(
-    pages: DataFrame, path: str, compress: bool = True, revisit_bytes: int = REVISIT_BYTES
+    pages: DataFrame,
+    path: str,
+    compress: bool = True,
+    revisit_bytes: int = REVISIT_BYTES,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> None:
-    """Write a record per row of ``page_id, url, html`` to archives in ``path``."""
+    """Write a record per row of ``page_id, url, html`` to archives in ``path``.
+
+    A task starts a new archive by bytes; a reader takes an archive as one value, so its
+    size is bounded, but for a single record that is longer by itself.
+    """
     spark = prepare(pages.sparkSession)
     chosen = with_winners(pages, partitions_of(spark), revisit_bytes)
-    packed = chosen.mapInArrow(lambda batches: _pack(batches, compress), "value binary")
+    packed = chosen.mapInArrow(lambda batches: _pack(batches, compress, bytes_per_file), "value binary, archive int")
     (
-        packed.select(F.col("value").cast("string"))
-        .write.option("lineSep", "\u0000" if compress else "\n")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        packed.select(F.col("value").cast("string"), "archive")
+        .write.partitionBy("archive")
+        .option("lineSep", "\u0000" if compress else "\n")
         .text(path)
     )
 
@@ -130,11 +146,10 @@ class _Bad(Exception):
     """A check failed; the text is the reason."""
 
 
-def _parse_plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
-    """Record at ``at``: end, header fields, block."""
-    if not data.startswith(VERSION, at):
+def _parse_plain(data: bytes, at: int, stop: int) -> tuple[int, dict[str, str], bytes]:
+    """Record at ``at``: end, header fields, block. ``stop`` is the next empty line, -1 if there is none."""
+    if not VERSION_LINE.match(data, at):
         raise _Bad("no version line")
-    stop = data.find(b"\r\n\r\n", at, at + HEADER_LIMIT)
     if stop < 0:
         raise _Bad("header does not end")
     head = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]
@@ -157,13 +172,16 @@ def read_records(data: bytes) -> Iterator[tuple]:
     """Records ``("record", offset, length, fields, block)`` and gaps ``("gap", offset, length, reason)``."""
     at, gap, reason, size = 0, None, "", len(data)
     ahead = {MAGIC: -1, VERSION: -1}
+    stop = data.find(HEADER_END)  # searched anew only behind it, so marks without a header cost nothing
     while at < size:
         packed = data.startswith(MAGIC, at)
+        if 0 <= stop < at:
+            stop = data.find(HEADER_END, at)
         try:
             if packed:
                 end, fields, block = _parse_member(data, at)
             else:
-                end, fields, block = _parse_plain(data, at)
+                end, fields, block = _parse_plain(data, at, stop)
         except _Bad as bad:
             if gap is None:
                 gap, reason = at, str(bad)
@@ -199,7 +217,7 @@ def _parse_member(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     plain = b"".join(parts)
     if not plain:
         return end, {}, b""
-    stop, fields, block = _parse_plain(plain, 0)
+    stop, fields, block = _parse_plain(plain, 0, plain.find(HEADER_END))
     if stop != len(plain):
         raise _Bad("more than one record in a member")
     return end, fields, block
@@ -247,7 +265,8 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     fields = [f.strip().split(" ") for f in RECORD_SCHEMA.split(",")]
     kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in fields])
-    files = prepare(spark).read.format("binaryFile").load(path).select("path", "content")
+    files = prepare(spark).read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = files.select("path", "content")
     return files.mapInArrow(lambda batches: _unpack(batches, schema, payload), RECORD_SCHEMA)
 
 
@@ -256,6 +275,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     path = scratch(pages.sparkSession, "warc")
     write_warc(pages, path)
     records = read_warc(pages.sparkSession, path, payload=False)
-    return records.filter("kind = 'record'").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    gap = F.concat(F.lit("gap in an archive that was just written: "), "path", F.lit(" "), "reason")
+    whole = F.when(F.col("kind") == "record", F.col("payload_bytes")).otherwise(F.raise_error(gap).cast("long"))
+    return records.select("page_id", whole.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")

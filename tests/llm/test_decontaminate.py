@@ -101,3 +101,52 @@ def test_edge_rows(spark):
     assert got == [(1, 1), (1, 1)]
     assert d.find_leaks(spark.createDataFrame([], SCHEMA), bench).count() == 0
     assert d.find_leaks(docs, spark.createDataFrame([], BENCH)).count() == 0
+
+
+def _found(docs, items):
+    entries = []
+    for entry, (item, text) in enumerate(items):
+        for s in d.segments_of(item, text):
+            s.entry = entry
+            entries.append(s)
+    hits = d.match(d.Index(entries), docs, d.THRESHOLD, d.OVERLAP)
+    return {(text, item): (round(q, 2), round(a, 2)) for text, item, _, _, _, q, a in hits}
+
+
+def test_long_items_need_question_and_answer():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(5_000)]
+    filler = " ".join(rng.choices(vocabulary, k=300))
+    question, answer = rng.sample(vocabulary, 150), rng.sample(vocabulary, 90)
+    item = " ".join(question) + ". " + " ".join(answer) + "."
+    docs = [
+        f"{filler} {item} {filler}",  # whole
+        f"{filler} {' '.join(question)}. {filler}",  # the answer is missing
+        f"{filler} {' '.join(answer)}. {filler}",  # the question is missing
+        f"{' '.join(answer)} {filler} {filler} {' '.join(question)}",  # both, far apart
+        f"{filler} {' '.join(question[:60])} {filler} {' '.join(answer)}",  # one segment of the question
+        f"{filler} {' '.join(question[:20])} {filler} {' '.join(answer)}",  # too little of the question
+        f"{filler} {' '.join(question)} {filler} {' '.join(answer[:45])}",  # half of the answer
+        f"{filler} {' '.join(question[:120])} {filler} {' '.join(answer[10:])}",  # most of both
+        filler,
+    ]
+    got = _found(docs, [(7, item)])
+    assert set(got) == {(0, 7), (3, 7), (4, 7), (7, 7)}
+    assert got[0, 7] == got[3, 7] == got[4, 7] == (1.0, 1.0) and 0.6 <= got[7, 7][1] < 1.0
+
+
+def test_long_item_of_one_sentence_and_of_two_texts():
+    words = [f"x{i}" for i in range(200)]
+    whole, half = " ".join(words), " ".join(words[:90])
+    docs = [f"before {whole} behind", f"before {half} behind"]
+    assert set(_found(docs, [(1, whole)])) == {(0, 1)}
+    assert set(_found(docs, [(1, whole), (1, half)])) == {(0, 1), (1, 1)}
+
+
+def test_short_items_are_listed_not_searched(spark):
+    items = [(1, "yes"), (2, "Is it so? Yes."), (3, "one two three four five"), (4, None), (5, "?!"), (6, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, "yes, is it so? yes. one two three four five")], "doc_id long, text string")
+    assert {r["item_id"] for r in d.find_leaks(docs, bench).collect()} == {3}
+    assert {r["item_id"] for r in d.short_items(bench).collect()} == {1, 2, 4, 5, 6}
+    assert d.without_leaks(docs, bench.filter("item_id <> 3")).count() == 1

@@ -5,6 +5,10 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from cyclewise.llm import warc
 
 PAGES = "page_id long, url string, html string, value string, sha string"
@@ -100,3 +104,46 @@ def test_salvage_of_plain_records():
     ids, gaps = _walk(altered)
     assert ids == [0, 2] and gaps == [(len(records[0]), len(records[1]))]
     assert _walk(b"") == ([], [])
+
+
+def test_long_header_comes_back(spark):
+    rows = [(1, "http://a/" + "x" * 200_000, "<p>y</p>", None, None), (2, "u", "<p>z</p>", None, None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = sorted((tuple(r) for r in warc.round_trip(pages).collect()), key=str)
+    assert got == _expected(pages.collect())
+
+
+def test_version_marks_without_headers_take_linear_time():
+    import time
+
+    data = b"WARC/1.1 broken " * 60_000
+    record = warc.record_bytes(1, "u", b"body", None, False, warc._base32(hashlib.sha1(b"body").digest()))
+    started = time.perf_counter()
+    found = list(warc.read_records(data + record))
+    assert time.perf_counter() - started < 5
+    assert [f[0] for f in found] == ["gap", "record"] and found[0][2] == len(data)
+
+
+def test_archives_are_closed_by_bytes(spark, tmp_path):
+    pages = spark.range(300).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.col("id").cast("string"), 5_000).alias("html")
+    )
+    warc.write_warc(pages.coalesce(1), f"{tmp_path}/w", compress=False, bytes_per_file=100_000)
+    files = [f for f in tmp_path.rglob("part-*") if not f.name.startswith(".")]
+    sizes = [f.stat().st_size for f in files]
+    assert len(files) > 10 and max(sizes) < 130_000
+    back = warc.read_warc(spark, f"{tmp_path}/w")
+    assert back.filter("kind = 'gap'").count() == 0 and back.filter("record_type = 'response'").count() == 300
+
+
+def test_a_gap_in_a_fresh_archive_is_an_error(spark, monkeypatch):
+    real = warc.read_warc
+
+    def with_gap(session, path, payload=True):
+        rows = real(session, path, payload)
+        gap = rows.limit(1).withColumn("kind", F.lit("gap")).withColumn("reason", F.lit("planted"))
+        return rows.unionByName(gap)
+
+    monkeypatch.setattr(warc, "read_warc", with_gap)
+    with pytest.raises(PySparkException, match="planted"):
+        warc.round_trip(_pages(spark)).collect()
