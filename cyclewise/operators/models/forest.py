@@ -9,7 +9,7 @@ by the number of trees nor gathered. Each tree grows in its own task from at mos
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -182,6 +182,8 @@ class Forest:
     sample_size: int
     low: float | None = None
     high: float | None = None
+    #: Scored fit rows, where the forest was fitted in this session.
+    fit_scores: DataFrame | None = field(default=None, repr=False, compare=False)
 
     model_type = "isolation_forest"
 
@@ -236,7 +238,8 @@ def fit_and_score(
     scored = settle(df.select(*[c for c in df.columns if c != "features"], raw.alias("raw")))
     span = scored.agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
     forest.low, forest.high = span["low"], span["high"]
-    return forest, scored.withColumn("score", forest.in_range(F.col("raw"))).drop("raw")
+    forest.fit_scores = scored.withColumn("score", forest.in_range(F.col("raw"))).drop("raw")
+    return forest, forest.fit_scores
 
 
 def fit_forest(df: DataFrame, keys: list[str], **options) -> Forest:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cyclewise.constants import CYCLE, ROLLING_SIZES, ROLLING_STATS, UNIT
+from cyclewise.constants import CYCLE, LOW_VARIANCE_SENSORS, OP_SETTINGS, ROLLING_SIZES, ROLLING_STATS, SENSORS, UNIT
 from cyclewise.functions.arrays import forecast_input, forecast_target, patches, pick_features
 from cyclewise.operators import features, scalers
 from cyclewise.operators.features import rolling_name
@@ -338,30 +338,41 @@ def _step_sum(i: int) -> Column:
     return F.aggregate("window", F.lit(0.0), lambda a, step: a + F.get(step, F.lit(i)))
 
 
+_KEPT = [c for c in SENSORS if c not in LOW_VARIANCE_SENSORS]
+_ROLLED_101 = [
+    f"avg({c}) OVER w{n}" if stat == "mean" else f"coalesce(stddev_samp({c}) OVER w{n}, 0.0)"
+    for n in ROLLING_SIZES
+    for stat in ROLLING_STATS
+    for c in _KEPT
+]
+
+
 @query(
     with_(
         VECTOR_PANEL,
-        select="SELECT unit_id, count(*) AS n_rows, 101 AS n_features, 17 AS n_raw, "
-        "round(sum(sensor_2), 4) + 0.0 AS sensor_2, round(sum(sensor_21), 4) + 0.0 AS sensor_21 "
-        "FROM vector_panel GROUP BY unit_id",
+        f"""rolled AS (
+          SELECT *, {' + '.join([*OP_SETTINGS, *_KEPT])} AS raw_sum, {' + '.join(_ROLLED_101)} AS rolled_sum
+          FROM vector_panel WINDOW {', '.join(
+              f"w{n} AS (PARTITION BY unit_id ORDER BY time_cycles ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+              for n in ROLLING_SIZES)})""",
+        select="""SELECT unit_id, count(*) AS n_rows, 101 AS n_features, 17 AS n_raw,
+        round(sum(raw_sum), 4) + 0.0 AS raw_sum, round(sum(raw_sum + rolled_sum), 3) + 0.0 AS all_sum
+        FROM rolled GROUP BY unit_id""",
     )
 )
 def channel_reduction(spark, sf_dir):
-    """Full panel: 101 features, 17 of them raw channels."""
+    """Full panel: the sums of all 101 features, and of the 17 raw channels among them."""
     rows, layout = fixtures.vector_panel(spark, sf_dir)
     engineered = features.engineer(rows, position=CYCLE, layout=layout)
     names = scalers.feature_columns(engineered)
     raw = scalers.raw_feature_columns(names)
-    return (
-        engineered.select(UNIT, *raw)
-        .groupBy(UNIT)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.lit(len(names)).alias("n_features"),
-            F.lit(len(raw)).alias("n_raw"),
-            rounded(F.sum("sensor_2"), 4).alias("sensor_2"),
-            rounded(F.sum("sensor_21"), 4).alias("sensor_21"),
-        )
+    whole = engineered.select(UNIT, *[sum((F.col(c) for c in of), F.lit(0.0)).alias(n) for n, of in (("raw", raw), ("every", names))])
+    return whole.groupBy(UNIT).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(len(names)).alias("n_features"),
+        F.lit(len(raw)).alias("n_raw"),
+        rounded(F.sum("raw"), 4).alias("raw_sum"),
+        rounded(F.sum("every"), 3).alias("all_sum"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from cyclewise.constants import CYCLE, OP_SETTINGS, SENSORS, UNIT
 from cyclewise.functions.decisions import engine_name
 from cyclewise.operators.panel import label_anomalies
 from cyclewise.operators.unit_order import Layout, number_rows
+from cyclewise.plans.registry import VECTOR_PLACES
 from cyclewise.sources.tables import read_table
 
 SUPPLIER_SENSORS = {
@@ -78,11 +82,12 @@ def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Layout]:
-    """All 26 columns from the first 24 numbers of every vector; one unit per label."""
+    """All 26 columns from the 64 numbers of every vector; one unit per label."""
     vectors = read_table(spark, sf_dir, "embeddings")
-    values = [
-        F.round(F.get("embedding", F.lit(i)).cast("double"), 4) + F.lit(0.0) for i in range(24)
-    ]
+    values = []
+    for places in VECTOR_PLACES.values():
+        numbers = [F.get("embedding", F.lit(j)).cast("double") for j in places]
+        values.append(F.round(reduce(add, numbers), 4) + F.lit(0.0))
     readings = vectors.select(
         (F.col("label") + 1).cast("long").alias(UNIT),
         "vec_id",

@@ -9,7 +9,7 @@ from cyclewise.functions.contracts import REASONS, request_reasons
 from cyclewise.operators import quality
 from cyclewise.operators.unit_order import Layout
 from cyclewise.plans import fixtures
-from cyclewise.plans.registry import ORDER_PANEL, query, rounded_all, with_
+from cyclewise.plans.registry import ORDER_PANEL, SQL, query, rounded_all, with_
 from cyclewise.sources.tables import read_table
 
 _COLUMNS = [
@@ -211,7 +211,10 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(fixtures.order_panel(spark, sf_dir), expected)
 
 
-@query("SELECT false AS passed, CAST(9 AS BIGINT) AS n_checks, CAST(7 AS BIGINT) AS n_failed")
+@query(
+    f"""SELECT bool_and(passed) AS passed, count(*) AS n_checks, count(*) FILTER (WHERE NOT passed) AS n_failed
+    FROM ({SQL['quality_report']}) AS report"""
+)
 def quality_overall(spark, sf_dir):
     return quality.overall(quality_report(spark, sf_dir))
 

@@ -80,13 +80,18 @@ order_panel AS (
 VECTOR_COLUMNS = ["op_setting_1", "op_setting_2", "op_setting_3"] + [
     f"sensor_{i}" for i in range(1, 22)
 ]
+#: Places of a vector's numbers that a column sums: all 64 are read, each by one column.
+VECTOR_PLACES = {c: range(i, 64, len(VECTOR_COLUMNS)) for i, c in enumerate(VECTOR_COLUMNS)}
+
+
+def _vector_sql(places: range) -> str:
+    return " + ".join(f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in places)
+
+
 VECTOR_PANEL = (
     "vector_panel AS (SELECT CAST(label + 1 AS BIGINT) AS unit_id, "
     "row_number() OVER (PARTITION BY label ORDER BY vec_id) AS time_cycles, "
-    + ", ".join(
-        f"round(CAST(embedding[{i}] AS DOUBLE), 4) + 0.0 AS {c}"
-        for i, c in enumerate(VECTOR_COLUMNS, 1)
-    )
+    + ", ".join(f"round({_vector_sql(p)}, 4) + 0.0 AS {c}" for c, p in VECTOR_PLACES.items())
     + " FROM embeddings)"
 )
 

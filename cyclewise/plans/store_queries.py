@@ -15,13 +15,12 @@ from cyclewise.operators.models.forecast import fit_ridge
 from cyclewise.operators.models.forest import fit_and_score
 from cyclewise.operators.models.reconstruction import fit_reconstruction, reconstruction_error
 from cyclewise.operators.scoring import Detector, decide, score
-from cyclewise.operators.unit_order import number_rows
 from cyclewise.plans import fixtures
 from cyclewise.plans.metric_queries import SWEEP_SQL
-from cyclewise.plans.registry import READINGS, SCORES, SUPPLIER_PANEL, VECTOR_COLUMNS, query, rounded, rounded_all, with_
+from cyclewise.plans.registry import READINGS, SCORES, SUPPLIER_PANEL, VECTOR_PANEL, query, rounded, rounded_all, with_
 from cyclewise.session import settle, shared_dir
 from cyclewise.sources import stores
-from cyclewise.sources.panel_text import ingest_test, ingest_train
+from cyclewise.sources.panel_text import ingest_test, ingest_train, write_checked
 from cyclewise.sources.tables import read_table
 
 _NAMES = [*OP_SETTINGS, *SENSORS]
@@ -37,31 +36,13 @@ def _write_panel(rows: DataFrame, path: str) -> None:
     rows.select(F.concat_ws("  ", F.concat_ws(" ", UNIT, CYCLE), *numbers, F.lit(""))).write.text(path)
 
 
-#: All 64 numbers of a vector: the first 24 by name, the others added to them in turn.
-_ALL_NUMBERS = {
-    c: [j for j in range(64) if j % 24 == i] for i, c in enumerate(VECTOR_COLUMNS)
-}
 _FULL_PANEL = (
-    "full_panel AS (SELECT CAST(label + 1 AS BIGINT) AS unit_id, "
-    "row_number() OVER (PARTITION BY label ORDER BY vec_id) AS time_cycles, "
-    + ", ".join(
-        "round(" + " + ".join(f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in places) + f", 4) AS {c}"
-        for c, places in _ALL_NUMBERS.items()
-    )
-    + " FROM embeddings), lives AS (SELECT unit_id, max(time_cycles) AS life FROM full_panel GROUP BY unit_id)"
+    f"{VECTOR_PANEL}, lives AS (SELECT unit_id, max(time_cycles) AS life FROM vector_panel GROUP BY unit_id)"
 )
 
 
 def _full_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = read_table(spark, sf_dir, "embeddings")
-    sums = []
-    for c, places in _ALL_NUMBERS.items():
-        total = F.get("embedding", F.lit(places[0])).cast("double")
-        for j in places[1:]:
-            total = total + F.get("embedding", F.lit(j)).cast("double")
-        sums.append(F.round(total, 4).alias(c))
-    rows = vectors.select((F.col("label") + 1).cast("long").alias(UNIT), "vec_id", *sums)
-    return number_rows(rows, ["vec_id"]).select(UNIT, CYCLE, *_NAMES)
+    return fixtures.vector_panel(spark, sf_dir)[0]
 
 
 _ROUNDED_SQL = ", ".join(f"round({c}, 4) + 0.0 AS {c}" for c in _NAMES)
@@ -73,7 +54,7 @@ _ROUNDED_SQL = ", ".join(f"round({c}, 4) + 0.0 AS {c}" for c in _NAMES)
         select=f"""SELECT unit_id, time_cycles, {_ROUNDED_SQL}, life - time_cycles AS rul,
         CAST(life - time_cycles < 30 AS INTEGER) AS is_anomaly,
         CAST(epoch(TIMESTAMP '2024-01-01') AS BIGINT) + (unit_id - 1) * 3600 + time_cycles - 1 AS event_second
-        FROM full_panel JOIN lives USING (unit_id)""",
+        FROM vector_panel JOIN lives USING (unit_id)""",
     )
 )
 def train_ingest(spark, sf_dir):
@@ -93,7 +74,7 @@ def train_ingest(spark, sf_dir):
         (unit_id * 37) % 90 + 5 + life - time_cycles AS rul,
         CAST((unit_id * 37) % 90 + 5 + life - time_cycles < 30 AS INTEGER) AS is_anomaly,
         CAST(epoch(TIMESTAMP '2024-01-01') AS BIGINT) + (unit_id - 1) * 3600 + time_cycles - 1 AS event_second
-        FROM full_panel JOIN lives USING (unit_id)""",
+        FROM vector_panel JOIN lives USING (unit_id)""",
     )
 )
 def cutoff_ingest(spark, sf_dir):
@@ -113,6 +94,46 @@ def cutoff_ingest(spark, sf_dir):
     )
 
 
+@query(
+    with_(
+        _FULL_PANEL,
+        """holed AS (SELECT * FROM vector_panel WHERE time_cycles % 17 <> 0),
+        sent AS (
+          SELECT *, CASE WHEN time_cycles % 29 = 0 THEN 'NaN'::DOUBLE ELSE sensor_4 END AS s4 FROM holed
+          UNION ALL
+          SELECT *, CASE WHEN time_cycles % 29 = 0 THEN 'NaN'::DOUBLE ELSE sensor_4 END FROM holed
+          WHERE time_cycles % 23 = 0),
+        stepped AS (SELECT *, lag(time_cycles) OVER (PARTITION BY unit_id ORDER BY time_cycles) AS before FROM sent),
+        facts AS (
+          SELECT count(*) AS n, count(*) FILTER (WHERE isnan(s4)) AS holes,
+            count(*) FILTER (WHERE time_cycles = before) AS again,
+            count(*) FILTER (WHERE time_cycles - before > 1) AS gaps FROM stepped)""",
+        select="""SELECT 0 AS position, 'columns_present' AS name, true AS passed, '' AS detail, n AS stored FROM facts
+        UNION ALL SELECT 1, 'no_nulls', holes = 0,
+          CASE WHEN holes > 0 THEN holes || ' nulls in columns: [''sensor_4'']' ELSE '' END, n FROM facts
+        UNION ALL SELECT 2, 'repeated_keys', again = 0, CASE WHEN again > 0 THEN again || ' repeated rows' ELSE '' END, n
+          FROM facts
+        UNION ALL SELECT 3, 'column_types', true, '', n FROM facts
+        UNION ALL SELECT 4, 'value_ranges', true, '', n FROM facts
+        UNION ALL SELECT 5, 'cycle_gaps', gaps = 0, CASE WHEN gaps > 0 THEN gaps || ' rows behind a gap' ELSE '' END, n
+          FROM facts
+        UNION ALL SELECT 6, 'rul_non_negative', true, '', n FROM facts
+        UNION ALL SELECT 7, 'anomaly_binary', true, '', n FROM facts
+        UNION ALL SELECT 8, 'schema_validation', holes = 0,
+          CASE WHEN holes > 0 THEN holes || '/' || n || ' rows failed' ELSE '' END, n FROM facts""",
+    )
+)
+def checked_ingest(spark, sf_dir):
+    """A file with holes, repeats and missing numbers, ingested and checked in one pass over its rows."""
+    path, out = _folder(spark, "checked"), _folder(spark, "panel")
+    rows = _full_panel(spark, sf_dir).filter(F.col(CYCLE) % 17 != 0)
+    missing = F.when(F.col(CYCLE) % 29 == 0, F.lit(float("nan"))).otherwise(F.col("sensor_4"))
+    rows = rows.withColumn("sensor_4", missing)
+    _write_panel(rows.unionByName(rows.filter(F.col(CYCLE) % 23 == 0)), path)
+    found = write_checked(spark, path, out)
+    return found.withColumn("stored", F.lit(spark.read.parquet(out).count()).cast("long"))
+
+
 @query(
     with_(
         SUPPLIER_PANEL,

@@ -121,7 +121,9 @@ def select_threshold(prepared: Prepared, detector: Detector) -> dict[str, float]
     """Set the threshold from validation windows; returns the validation metrics."""
     val = settle(scored(prepared, detector, "val"))
     if detector.model_type == "isolation_forest":
-        train = settle(scored(prepared, detector, "train"))
+        train = detector.model.fit_scores  # settled by the fit, which needs their range
+        if train is None:
+            train = settle(scored(prepared, detector, "train"))
         cuts = metrics.contamination_cuts(train, CONTAMINATION_GRID)
         best = metrics.best_of_grid(metrics.contamination_grid(val, CONTAMINATION_GRID, cuts))
         row = best.first()

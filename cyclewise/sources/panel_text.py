@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclewise.constants import CYCLE, RAW_SCHEMA, UNIT
-from cyclewise.operators import panel
+from cyclewise.operators import panel, scan_checks
 from cyclewise.operators.unit_order import Layout
 
 
@@ -66,6 +66,14 @@ def ingest_train(spark: SparkSession, path: str) -> DataFrame:
     return panel.add_simulated_timestamps(labeled)
 
 
+def write_checked(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """Ingest a training file into Parquet; the checks' report comes from the job that writes."""
+    frame = ingest_train(spark, path)
+    watched, seen = scan_checks.watch(frame)
+    watched.write.mode("overwrite").parquet(out)
+    return scan_checks.report(spark, seen, frame)
+
+
 def ingest_test(
     spark: SparkSession, path: str, rul_path: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from cyclewise.constants import RAW_COLUMNS
 from cyclewise.operators import panel as panels
 from cyclewise.operators.scalers import Scaler
 from cyclewise.sources import stores
-from cyclewise.sources.panel_text import ingest_test, ingest_train, read_panel, read_remaining_life
+from cyclewise.sources.panel_text import ingest_test, ingest_train, read_panel, read_remaining_life, write_checked
 from cyclewise.sources.tables import read_table
 
 
@@ -48,6 +48,26 @@ def test_ingest_train(spark, text_file):
     assert str(rows[5]["timestamp"]) == "2024-01-01 01:00:01"
 
 
+def test_checks_ride_along_with_the_write(spark, tmp_path):
+    numbers = " ".join(["1.5"] * 24)
+    lines = [f"1 {c} {numbers}" for c in (1, 2, 2, 5)] + [f"0 1 {numbers}", "2 1 " + " ".join(["x"] + ["2"] * 23)]
+    (tmp_path / "train.txt").write_text("\n".join(lines))
+    rows = write_checked(spark, str(tmp_path / "train.txt"), str(tmp_path / "out")).collect()
+    assert [r["position"] for r in rows] == list(range(9))
+    assert {r["name"]: r["detail"] for r in rows if not r["passed"]} == {
+        "no_nulls": "1 nulls in columns: ['op_setting_1']",
+        "repeated_keys": "1 repeated rows",
+        "value_ranges": "unit_id contains values < 1",
+        "cycle_gaps": "1 rows behind a gap",
+        "schema_validation": "2/6 rows failed",
+    }
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert stored.count() == 6 and "_previous_cycle" not in stored.columns
+    (tmp_path / "empty.txt").write_text("\n")
+    empty = write_checked(spark, str(tmp_path / "empty.txt"), str(tmp_path / "none"))
+    assert {r["passed"] for r in empty.collect()} == {True}
+
+
 def test_ingest_test_and_labels(spark, text_file, tmp_path):
     lives = tmp_path / "rul.txt"
     lives.write_text("112\n98 \n")
