@@ -2,7 +2,8 @@
 
 Texts are cut into sentences. Sentences without a licence word are put aside; the
 others are normalised and mapped to identifiers of known licence sentences, ``?`` for
-those nobody knows. Ordered rules, longer ones first, then rewrite runs of
+those nobody knows. Titles and addresses are stepped over, and copyright lines that lead a
+notice belong to it. Ordered rules, longer ones first, then rewrite runs of
 identifiers into licence names. Everything is a column expression over one row, so the
 scan needs no shuffle and no text leaves its task.
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 #: A sentence is looked up only if it holds one of these.
 LICENCE_WORDS = (
     r"licen[cs]|copyright|copyleft|warrant|redistribut|permission|public domain|"
-    r"liable|as is|without modification|advertising material|endorse|all rights reserved"
+    r"liable|as is|without modification|advertising material|endorse|all rights reserved|copy of the mpl"
 )
 
 # Wording of public licences, lower case, without commas and quotes.
@@ -43,6 +44,8 @@ SENTENCES: list[tuple[str, str]] = [
     ("mitLiable", r"in no event shall the authors or copyright holders be liable"),
     ("mitName", r"(released|licen[cs]ed|distributed|available) under (the terms of )?the mit licen[cs]e"),
     ("iscGrant", r"permission to use copy modify and/or distribute this software for any purpose"),
+    ("iscAsIs", r"the software is provided as is and the author disclaims all warranties"),
+    ("iscLiable", r"in no event shall the author be liable for any special"),
     ("bsdGrant", r"redistribution and use in source and binary forms with or without modification"),
     ("bsdSource", r"redistributions of source code must retain the above copyright notice"),
     ("bsdBinary", r"redistributions in binary form must reproduce the above copyright notice"),
@@ -58,9 +61,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("lgpl3", r"gnu lesser general public licen[cs]e version 3"),
     ("gpl2Later", r"gnu general public licen[cs]e .*version 2 .*any later version"),
     ("gpl3Later", r"gnu general public licen[cs]e .*version 3 .*any later version"),
-    ("gplHope", r"this program is distributed in the hope that it will be useful"),
-    ("gplMore", r"see the gnu general public licen[cs]e for more details"),
-    ("gplCopy", r"you should have received a copy of the gnu general public licen[cs]e"),
+    ("gplHope", r"this (program|library|software|file) is distributed in the hope that it will be useful"),
+    ("gplMore", r"see the gnu (lesser |affero )?general public licen[cs]e for more details"),
+    ("gplCopy", r"you should have received a copy of the gnu (lesser |affero )?general public licen[cs]e"),
     ("gpl2", r"gnu general public licen[cs]e version 2"),
     ("gpl3", r"gnu general public licen[cs]e version 3"),
     ("mpl2", r"subject to the terms of the mozilla public licen[cs]e v\.? ?2\.0"),
@@ -74,6 +77,8 @@ SENTENCES: list[tuple[str, str]] = [
     ("cc0", r"cc0 1\.0|creative commons zero"),
     ("unlicense", r"free and unencumbered software released into the public domain"),
     ("publicDomain", r"(released|placed|dedicated|is) (in|into|to) the public domain"),
+    ("url", r"^(https?://)?[a-z0-9.-]+(/[a-z0-9._~+-]*)+$"),
+    ("title", r"^(the )?(mit|isc|apache|mozilla public|bsd [234]-clause|gnu [a-z ]+) licen[cs]e( \(mit\))?( version [0-9.]+)?$"),
     ("reserved", r"all rights reserved"),
     ("copyrightLine", r"^copyright|^\(c\)|copyright (c )?[0-9]{4}"),
 ]
@@ -82,7 +87,9 @@ SENTENCES: list[tuple[str, str]] = [
 # the order in which rules are tried.
 RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["apache2", "apacheUse", "apacheCopy", "apacheBasis", "apacheSee"]),
+    ("Apache-2.0", ["apache2", "apacheCopy", "apacheBasis", "apacheSee"]),
     ("Apache-2.0", ["apache2", "apacheUse", "apacheCopy"]),
+    ("Apache-2.0", ["apache2", "apacheCopy"]),
     ("Apache-2.0", ["apache2", "apacheUse"]),
     ("MIT", ["mitGrant", "mitNotice", "mitAsIs", "mitLiable"]),
     ("MIT", ["mitGrant", "mitNotice", "mitAsIs"]),
@@ -92,18 +99,21 @@ RULES: list[tuple[str, list[str]]] = [
     ("BSD-3-Clause", ["bsdGrant", "bsdSource", "bsdBinary", "bsdEndorse"]),
     ("BSD-2-Clause", ["bsdGrant", "bsdSource", "bsdBinary", "bsdAsIs", "bsdLiable"]),
     ("BSD-2-Clause", ["bsdGrant", "bsdSource", "bsdBinary"]),
+    ("ISC", ["iscGrant", "iscAsIs", "iscLiable"]),
     ("ISC", ["iscGrant", "mitAsIs"]),
     ("ISC", ["iscGrant"]),
-    ("GPL-2.0-or-later", ["gpl2Later", "gplHope", "gplMore", "gplCopy"]),
-    ("GPL-3.0-or-later", ["gpl3Later", "gplHope", "gplMore", "gplCopy"]),
-    ("GPL-2.0-or-later", ["gpl2Later", "gplHope", "gplMore"]),
-    ("GPL-3.0-or-later", ["gpl3Later", "gplHope", "gplMore"]),
-    ("GPL-2.0-or-later", ["gpl2Later"]),
-    ("GPL-3.0-or-later", ["gpl3Later"]),
-    ("AGPL-3.0-or-later", ["agpl3Later"]),
+    *[
+        (name, [first, *rest])
+        for rest in (["gplHope", "gplMore", "gplCopy"], ["gplHope", "gplMore"], ["gplHope"], [])
+        for name, first in (
+            ("GPL-2.0-or-later", "gpl2Later"),
+            ("GPL-3.0-or-later", "gpl3Later"),
+            ("AGPL-3.0-or-later", "agpl3Later"),
+            ("LGPL-2.1-or-later", "lgpl21Later"),
+            ("LGPL-3.0-or-later", "lgpl3Later"),
+        )
+    ],
     ("AGPL-3.0-only", ["agpl3"]),
-    ("LGPL-2.1-or-later", ["lgpl21Later"]),
-    ("LGPL-3.0-or-later", ["lgpl3Later"]),
     ("LGPL-2.1-only", ["lgpl21"]),
     ("LGPL-3.0-only", ["lgpl3"]),
     ("GPL-2.0-only", ["gpl2"]),
@@ -133,17 +143,23 @@ RULES: list[tuple[str, list[str]]] = [
 ]
 
 COMMENT_LEAD = r"(?m)^[ \t]*(//+|/\*+|\*+/?|#+|;+|--+)[ \t]*"
-WRAPPED_LINE = r"([^.!?:;\n])[ \t]*\n[ \t]*([^ \t\n])"
-SENTENCE_END = r"([.!?;])[ \t\n]+"
+WRAPPED_LINE = r"([^.!?:\n])[ \t]*\n[ \t]*([^ \t\n])"
+VERSION_SIGN = r"\bv\. +([0-9])"
+SENTENCE_END = r"([.!?])[ \t\n]+"
 NOISE = r"[^\p{L}\p{N}.()+/:-]+"
 EDGES = r"^[ .:]+|[ .:]+$"
 NAMES = r"\{([^}]*)\}"
+#: Sentences that say nothing of their own are stepped over by the rules.
+FILLERS = ["url", "title"]
+#: Copyright lines that lead a notice belong to it.
+LEADING = r"(?:<copyrightLine>|<reserved>)+(<(?:mitGrant|iscGrant|bsdGrant|apache2|a?gpl[23]Later|lgpl(?:21|3)Later|mpl2)>)"
 
 
 def sentences(text: Column) -> Column:
     """Normalised sentences that hold a licence word, in text order."""
     cut = F.regexp_replace(F.lower(text), COMMENT_LEAD, "")
     cut = F.regexp_replace(cut, WRAPPED_LINE, "$1 $2")
+    cut = F.regexp_replace(cut, VERSION_SIGN, "v$1")
     cut = F.regexp_replace(cut, SENTENCE_END, "$1\n")
     found = F.filter(F.split(cut, "\n"), lambda s: s.rlike(LICENCE_WORDS))
     return F.transform(
@@ -160,7 +176,10 @@ def sentence_id(sentence: Column) -> Column:
 
 
 def apply_rules(ids: Column) -> Column:
-    """Rewrite ``<id><id>`` runs into ``{licence}``, rule after rule."""
+    """Rewrite ``<id><id>`` runs into ``{licence}``, rule after rule; fillers and leading lines go first."""
+    for name in FILLERS:
+        ids = F.replace(ids, F.lit(f"<{name}>"), F.lit(""))
+    ids = F.regexp_replace(ids, LEADING, "$1")
     for licence, parts in RULES:
         ids = F.replace(ids, F.lit("".join(f"<{p}>" for p in parts)), F.lit(f"{{{licence}}}"))
     return ids
@@ -205,13 +224,17 @@ def license_sql() -> str:
     """The same scan over ``documents`` for DuckDB."""
     cases = " ".join(f"WHEN regexp_matches(s, {_quoted(p)}) THEN {_quoted(n)}" for n, p in SENTENCES)
     marked = "array_to_string(list_transform(ids, lambda s: '<' || s || '>'), '')"
+    for name in FILLERS:
+        marked = f"replace({marked}, '<{name}>', '')"
+    marked = f"regexp_replace({marked}, {_quoted(LEADING)}, '\\1', 'g')"
     for licence, parts in RULES:
         marked = f"replace({marked}, {_quoted(''.join(f'<{p}>' for p in parts))}, {_quoted('{' + licence + '}')})"
     return f"""
 WITH cut AS (
   SELECT doc_id, list_transform(list_filter(string_split(
-           regexp_replace(regexp_replace(regexp_replace(lower(text), {_quoted(COMMENT_LEAD)}, '', 'g'),
-             {_quoted(WRAPPED_LINE)}, '\\1 \\2', 'g'), {_quoted(SENTENCE_END)}, '\\1' || chr(10), 'g'), chr(10)),
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), {_quoted(COMMENT_LEAD)}, '', 'g'),
+             {_quoted(WRAPPED_LINE)}, '\\1 \\2', 'g'), {_quoted(VERSION_SIGN)}, 'v\\1', 'g'),
+             {_quoted(SENTENCE_END)}, '\\1' || chr(10), 'g'), chr(10)),
            lambda s: regexp_matches(s, {_quoted(LICENCE_WORDS)})),
            lambda s: regexp_replace(regexp_replace(s, {_quoted(NOISE)}, ' ', 'g'), {_quoted(EDGES)}, '', 'g')) AS found
   FROM documents),
