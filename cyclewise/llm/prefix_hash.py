@@ -6,10 +6,10 @@ are compared in constant time, longest common extensions are found by binary sea
 the hash of a spliced text follows from the arrays of its parts without reading it again.
 
 A fingerprint is the length and the hash of the whole text. Likeness of two texts is the
-Dice coefficient of their sets of span hashes (spans of ``SPAN`` characters at every
-position; long texts keep the hashes divisible by a power of two, the same for both), so
-moved and inserted parts count. Texts without such spans are compared by common prefix and
-suffix.
+Dice coefficient of their sets of span hashes, so moved and inserted parts count. A span
+begins at every position and has ``SPAN`` characters, or those left to the end of the text:
+texts of every length are compared in the same way and with all their spans. Two empty texts
+are alike, an empty one is unlike any other.
 
 Neighbours in id order. Ids are cut into ranges at quantiles; the first document of a range
 also goes, marked, to the range before, so one shuffle and a sort inside partitions give
@@ -35,8 +35,6 @@ from cyclewise.llm.common import partitions_of, prepare
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (911_382_323, 972_663_749)
 SPAN = 32
-#: Span hashes aimed at for one text.
-SAMPLE = 128
 NULL_ID = -(1 << 63)
 
 SCHEMA = (
@@ -101,51 +99,50 @@ class Prefix:
             lo, hi = (mid, hi) if self.equal(i - mid, other, j - mid, mid) else (lo, mid - 1)
         return lo
 
-    def spans(self) -> np.ndarray:
-        """Hash of the span at every position, free of its place."""
-        if self.n < SPAN:
-            return np.empty(0, np.uint64)
-        return _placed(self.sums[0][SPAN:], self.sums[0][: self.n - SPAN + 1], 0)
-
     def whole(self) -> list[int]:
         return [int(s[self.n]) for s in self.sums]
 
 
-def _placed(ends: np.ndarray, begins: np.ndarray, first: int) -> np.ndarray:
-    """Span hashes from prefix sums at begins ``first, first + 1, ...``, divided by the power of the begin."""
-    prime = np.uint64(PRIMES[0])
-    inverse = powers(pow(BASES[0], -1, PRIMES[0]), PRIMES[0], first + len(begins))
-    return (ends + prime - begins) % prime * inverse[first : first + len(begins)] % prime
+def span_hashes(sums: list[np.ndarray]) -> np.ndarray:
+    """Distinct hashes of the spans at all positions, free of their place, from both prefix sums.
 
+    A difference of two sums is divided by the power of its begin; 62 bits in all.
+    """
+    n = len(sums[0]) - 1
+    ends = np.minimum(np.arange(n) + SPAN, n)
+    both = np.zeros(n, np.uint64)
+    for base, p, own in zip(BASES, PRIMES, sums):
+        prime = np.uint64(p)
+        inverse = powers(pow(base, -1, p), p, n)[:n]
+        both = (both << np.uint64(31)) | ((own[ends] + prime - own[:n]) % prime * inverse % prime)
+    return np.unique(both)
 
-def fingerprint(n: int, hashes: list[int]) -> str:
-    return f"{n:x}-{hashes[0]:08x}{hashes[1]:08x}"
 
+def spliced(left: list[np.ndarray], keep: int, right: list[np.ndarray], given: int) -> list[np.ndarray]:
+    """Prefix sums of ``keep`` characters of one text followed by ``given`` of another."""
+    out = []
+    for base, p, a, b in zip(BASES, PRIMES, left, right):
+        prime, shift = np.uint64(p), powers(base, p, keep + 1)[keep]
+        out.append(np.concatenate([a[: keep + 1], (a[keep] + shift * b[1 : given + 1] % prime) % prime]))
+    return out
 
-def _step(n: int) -> int:
-    return max(1, 1 << (max(1, n // SAMPLE).bit_length() - 1))
 
-
-def _sampled(spans: np.ndarray, step: int) -> np.ndarray:
-    return np.unique(spans[(spans & np.uint64(step - 1)) == 0])
+def fingerprint(n: int, hashes: list[int]) -> str:
+    return f"{n:x}-{hashes[0]:08x}{hashes[1]:08x}"
 
 
-def dice(a: np.ndarray, b: np.ndarray) -> float | None:
-    """Likeness of two sets of hashes; none if both are empty."""
+def dice(a: np.ndarray, b: np.ndarray) -> float:
+    """Likeness of two sets of hashes; 1 if both are empty."""
     if not len(a) and not len(b):
-        return None
+        return 1.0
     return 2.0 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
 
 
-def _by_ends(front: int, back: int, n: int, m: int) -> float:
-    return 1.0 if n == m == 0 else min(front + back, n, m) / max(n, m)
-
-
 class _Document:
     def __init__(self, doc_id, text: str):
         self.doc_id = doc_id
         self.prefix = Prefix(text)
-        self.spans = self.prefix.spans()
+        self.spans = span_hashes(self.prefix.sums)
 
     def row(self, following: _Document) -> tuple:
         a, b = self.prefix, following.prefix
@@ -153,40 +150,16 @@ class _Document:
         keep = n - n // 2
         given = min(n // 2, b.n)
         size = keep + given
-        edited = [
-            (int(a.sums[k][keep]) + int(powers(BASES[k], PRIMES[k], keep + 1)[keep]) * int(b.sums[k][given])) % PRIMES[k]
-            for k in range(2)
-        ]
-        step = _step(max(n, b.n))
-        own = _sampled(self.spans, step)
-        near_edited = dice(own, _sampled(self._spliced(following, keep, given), step))
-        near_next = dice(own, _sampled(following.spans, step))
+        edited = spliced(a.sums, keep, b.sums, given)
+        near_edited = dice(self.spans, span_hashes(edited))
+        near_next = dice(self.spans, following.spans)
         front, back = a.extension(0, b, 0), a.extension_back(n, b, b.n)
-        if near_next is None:
-            near_next = _by_ends(front, back, n, b.n)
-        if near_edited is None or n < SPAN:
-            spliced = Prefix(a.text[:keep] + b.text[:given])
-            near_edited = _by_ends(a.extension(0, spliced, 0), a.extension_back(n, spliced, size), n, size)
         digest = hashlib.sha256((a.text[:keep] + b.text[:given]).encode("utf-8", "surrogatepass")).hexdigest()
         return (
-            self.doc_id, n, digest, fingerprint(n, a.whole()), fingerprint(size, edited),
+            self.doc_id, n, digest, fingerprint(n, a.whole()), fingerprint(size, [int(s[size]) for s in edited]),
             near_edited, near_next, front, back,
         )
 
-    def _spliced(self, following: _Document, keep: int, given: int) -> np.ndarray:
-        """Span hashes of the first ``keep`` characters here followed by ``given`` from there."""
-        if keep + given < SPAN:
-            return np.empty(0, np.uint64)
-        parts = [self.spans[: max(0, keep - SPAN + 1)], following.spans[: max(0, given - SPAN + 1)]]
-        lo, hi = max(0, keep - SPAN + 1), min(keep, keep + given - SPAN + 1)
-        if hi > lo:  # spans over the seam
-            prime = np.uint64(PRIMES[0])
-            shift = powers(BASES[0], PRIMES[0], keep + 1)[keep]
-            inside = following.prefix.sums[0][lo + SPAN - keep : hi + SPAN - keep]
-            ends = (self.prefix.sums[0][keep] + shift * inside % prime) % prime
-            parts.append(_placed(ends, self.prefix.sums[0][lo:hi], lo))
-        return np.concatenate(parts)
-
 
 def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows in order of range, mark and id; each document meets the row behind it."""
