@@ -199,19 +199,16 @@ def dedup(docs: DataFrame) -> DataFrame:
     ranges = (
         repeated_chunks(docs)
         .groupBy("doc_id", "text_check")
-        .agg(F.array_sort(F.collect_set("place")).alias("_places"), F.array_sort(F.collect_set("first_id")).alias("_first"))
-        .withColumnsRenamed({"doc_id": "_doc", "text_check": "_check"})
+        .agg(F.array_sort(F.collect_set("place")).alias("places"), F.array_sort(F.collect_set("first_id")).alias("first"))
     )
-    matches = (F.col("doc_id") == F.col("_doc")) & (F.crc32(F.col("text").cast("binary")) == F.col("_check"))
-    joined = docs.join(ranges, matches, "left").withColumn("_new", F.pandas_udf(_cut, CUT_TYPE)("text", "_places"))
-    changed = F.size("_new.spans") > 0
-    removed = F.aggregate("_new.spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
-    out = joined.withColumns(
-        {
-            "text": F.col("_new.text"),
-            "removed_spans": F.col("_new.spans"),
-            "removed_chars": removed,
-            "first_ids": F.when(changed, F.col("_first")).otherwise(F.array().cast("array<long>")),
-        }
-    )
-    return out.drop("_new", "_doc", "_check", "_places", "_first")
+    # the rows travel as one value, so their columns may have any names
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    matches = (F.col("doc.doc_id") == F.col("doc_id")) & (F.crc32(F.col("doc.text").cast("binary")) == F.col("text_check"))
+    joined = packed.join(ranges, matches, "left").withColumn("new", F.pandas_udf(_cut, CUT_TYPE)("doc.text", "places"))
+    removed = F.aggregate("new.spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
+    first = F.when(F.size("new.spans") > 0, F.col("first")).otherwise(F.array().cast("array<long>"))
+    added = {"removed_spans": F.col("new.spans"), "removed_chars": removed, "first_ids": first}
+    kept = [
+        F.col("new.text").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in added
+    ]
+    return joined.select(*kept, *[value.alias(c) for c, value in added.items()])

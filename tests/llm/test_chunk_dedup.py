@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cyclewise.llm import chunk_dedup as c
 from cyclewise.llm.queries import QUERIES
@@ -111,3 +112,20 @@ def test_edge_rows(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == _brute(rows)
     assert [len(r["text"]) for r in got if r["doc_id"] == 9][0] < 200
     assert c.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_clashing_names_survive(spark):
+    names = ["_doc", "_check", "_places", "_first", "_new", "doc", "new", "places", "first", "text_check", "place", "digest"]
+    passage = " ".join(f"passage{i}" for i in range(120))
+    docs = spark.createDataFrame([(1, passage), (2, "before it all. " + passage)], "doc_id long, text string")
+    plain = {r["doc_id"]: r for r in c.dedup(docs).collect()}
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = docs.withColumn("removed_chars", F.lit("old"))
+    out = c.dedup(docs)
+    assert out.columns == ["doc_id", "text", *names, "removed_spans", "removed_chars", "first_ids"]
+    for r in out.collect():
+        assert [r[n] for n in names] == [f"{n}{r['doc_id']}" for n in names]
+        for n in ("text", "removed_spans", "removed_chars", "first_ids"):
+            assert r[n] == plain[r["doc_id"]][n]
+    assert plain[2]["removed_chars"] > 0
