@@ -175,7 +175,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     stats = measured(docs)
     known = labels.filter(F.col(label).isin(0, 1) & (fold_of("doc_id", FOLDS) != HELD_OUT))
     taught = stats.join(known.select("doc_id", F.col(label).alias("label")), "doc_id").drop("doc_id")
-    model = fit(taught)
+    model = fit(stored(taught, "labelled-statistics"))  # every level of the trees reads these rows
     return stats.select(
         "doc_id",
         F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),

@@ -139,8 +139,10 @@ def test_long_item_of_one_sentence_and_of_two_texts():
     words = [f"x{i}" for i in range(200)]
     whole, half = " ".join(words), " ".join(words[:90])
     docs = [f"before {whole} behind", f"before {half} behind"]
-    assert set(_found(docs, [(1, whole)])) == {(0, 1)}
+    docs.append(" ".join(words[:20]))
+    assert set(_found(docs, [(1, whole)])) == {(0, 1), (1, 1)}  # a segment of one long sentence is enough
     assert set(_found(docs, [(1, whole), (1, half)])) == {(0, 1), (1, 1)}
+    assert set(_found(docs, [(1, half)])) == {(0, 1), (1, 1)}
 
 
 def test_short_items_are_listed_not_searched(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from cyclewise.llm import decontaminate, mixing
 from tests.compare import compare, duck
@@ -74,3 +76,16 @@ def test_no_benchmark_text_passes(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontaminate.find_leaks(p.run(spark, sf_dir), items)
     assert leaks.count() == 0
+
+
+def test_clashing_names_and_white_space(spark, sf_dir):
+    passage = " ".join(f"passage{i}" for i in range(120))
+    names = ["_found", "found", "doc", "_new", "_doc"]
+    rows = [(1, "\n" + passage, None, "s", 3), (2, "\n\t\u00a0" + passage + "\u2003\n", "en", "s", 3), (3, None, None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in names:
+        docs = docs.withColumn(name, F.lit(7).cast("long"))
+    for stage in (p.language, p.substrings):
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and {tuple(r[n] for n in names) for r in out.collect()} <= {(7,) * 5}
+    assert {r["doc_id"] for r in p.substrings(spark, docs, sf_dir).collect()} == {1, 3}

@@ -231,6 +231,10 @@ def test_quality_on_held_out_labels(spark, sf_dir):
     label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     rows = [r for r in QUERIES["op10_quality"](spark, sf_dir).collect() if r["held_out"] and r["doc_id"] in label]
     assert np.mean([r["predicted"] == label[r["doc_id"]] for r in rows]) > 0.9
+    good = [r["score"] for r in rows if label[r["doc_id"]] == 1]
+    poor = [r["score"] for r in rows if label[r["doc_id"]] == 0]
+    assert good and poor and np.mean([g > b for g in good for b in poor]) > 0.95  # area under the curve
+    assert np.mean([s < rule_quality.CUT for s in poor]) > 0.5
     assert all((r["score"] >= 0.3) == (r["predicted"] == 1) for r in rows)
 
 
