@@ -26,6 +26,9 @@ from cyclewise.llm.common import prepare, stored, table
 #: Share of the letters that the main language has at least.
 MAIN_SHARE = 0.5
 
+#: A character that is no white space.
+SOLID = r"[^\s\p{Z}\x{85}\x{1C}-\x{1F}]"
+
 #: SQL cannot express the stages; tests compare them with brute force.
 ORACLE_SQL = None
 
@@ -33,9 +36,12 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = langid.learn(langid.learned_rows(docs))
-    found = docs.withColumn("_found", langid.labeller(spark, model)("text"))
-    kept = found.filter((F.col("_found.lang") != langid.UNKNOWN) & (F.col("_found.score") >= MAIN_SHARE))
-    return kept.withColumn("lang", F.coalesce("lang", "_found.lang")).select(docs.columns)
+    # rows and labels travel as one value each, so the columns may have any names
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    found = rows.withColumn("found", langid.labeller(spark, model)("doc.text"))
+    kept = found.filter((F.col("found.lang") != langid.UNKNOWN) & (F.col("found.score") >= MAIN_SHARE))
+    lang = F.coalesce("doc.lang", "found.lang")
+    return kept.select(*[(lang if c == "lang" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +53,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     changed = F.coalesce(F.col("removed_chars") > 0, F.lit(False))
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     out = out.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return out.filter(~changed | (F.trim("text") != "")).select(docs.columns)
+    return out.filter(~changed | F.col("text").rlike(SOLID)).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
