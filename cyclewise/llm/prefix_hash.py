@@ -103,28 +103,45 @@ class Prefix:
         return [int(s[self.n]) for s in self.sums]
 
 
-def span_hashes(sums: list[np.ndarray]) -> np.ndarray:
-    """Distinct hashes of the spans at all positions, free of their place, from both prefix sums.
+def _placed(begins: list[np.ndarray], ends: list[np.ndarray], at: np.ndarray | slice, n: int) -> np.ndarray:
+    """Span hashes from both prefix sums at begins and ends, divided by the powers of the begins; 62 bits."""
+    both = np.zeros(len(begins[0]), np.uint64)
+    for base, p, low, high in zip(BASES, PRIMES, begins, ends):
+        prime, inverse = np.uint64(p), powers(pow(base, -1, p), p, n)[at]
+        both = (both << np.uint64(31)) | ((high + prime - low) % prime * inverse % prime)
+    return both
 
-    A difference of two sums is divided by the power of its begin; 62 bits in all.
-    """
+
+def span_hashes(sums: list[np.ndarray]) -> np.ndarray:
+    """Hashes of the spans at all positions, free of their place."""
     n = len(sums[0]) - 1
     ends = np.minimum(np.arange(n) + SPAN, n)
-    both = np.zeros(n, np.uint64)
-    for base, p, own in zip(BASES, PRIMES, sums):
-        prime = np.uint64(p)
-        inverse = powers(pow(base, -1, p), p, n)[:n]
-        both = (both << np.uint64(31)) | ((own[ends] + prime - own[:n]) % prime * inverse % prime)
-    return np.unique(both)
-
-
-def spliced(left: list[np.ndarray], keep: int, right: list[np.ndarray], given: int) -> list[np.ndarray]:
-    """Prefix sums of ``keep`` characters of one text followed by ``given`` of another."""
-    out = []
-    for base, p, a, b in zip(BASES, PRIMES, left, right):
+    return _placed([s[:n] for s in sums], [s[ends] for s in sums], slice(0, n), n)
+
+
+def spliced_hashes(left: _Document, keep: int, right: _Document, given: int) -> np.ndarray:
+    """The same for ``keep`` characters of one text followed by ``given`` of another.
+
+    Spans inside either part are known; only those over the seam and at the new end are made.
+    """
+    size, own, other = keep + given, max(0, keep - SPAN + 1), max(0, given - SPAN + 1)
+    at = np.concatenate([np.arange(own, keep), np.arange(keep + other, size)])
+    ends = np.minimum(at + SPAN, size)
+    begins_of, ends_of = [], []
+    for base, p, a, b in zip(BASES, PRIMES, left.prefix.sums, right.prefix.sums):
         prime, shift = np.uint64(p), powers(base, p, keep + 1)[keep]
-        out.append(np.concatenate([a[: keep + 1], (a[keep] + shift * b[1 : given + 1] % prime) % prime]))
-    return out
+        for places, out in ((at, begins_of), (ends, ends_of)):
+            behind = (a[keep] + shift * b[np.maximum(places - keep, 0)] % prime) % prime
+            out.append(np.where(places > keep, behind, a[np.minimum(places, keep)]))
+    return np.concatenate([left.spans[:own], _placed(begins_of, ends_of, at, size), right.spans[:other]])
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Ascending, each once."""
+    ordered = np.sort(hashes)
+    fresh = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
+    return ordered[fresh]
 
 
 def fingerprint(n: int, hashes: list[int]) -> str:
@@ -132,10 +149,12 @@ def fingerprint(n: int, hashes: list[int]) -> str:
 
 
 def dice(a: np.ndarray, b: np.ndarray) -> float:
-    """Likeness of two sets of hashes; 1 if both are empty."""
+    """Likeness of two ascending arrays of distinct hashes; 1 if both are empty."""
     if not len(a) and not len(b):
         return 1.0
-    return 2.0 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
+    merged = np.concatenate([a, b])
+    merged.sort(kind="stable")  # merges the two runs
+    return 2.0 * int(np.count_nonzero(merged[1:] == merged[:-1])) / len(merged)
 
 
 class _Document:
@@ -143,6 +162,7 @@ class _Document:
         self.doc_id = doc_id
         self.prefix = Prefix(text)
         self.spans = span_hashes(self.prefix.sums)
+        self.set = distinct(self.spans)
 
     def row(self, following: _Document) -> tuple:
         a, b = self.prefix, following.prefix
@@ -150,13 +170,16 @@ class _Document:
         keep = n - n // 2
         given = min(n // 2, b.n)
         size = keep + given
-        edited = spliced(a.sums, keep, b.sums, given)
-        near_edited = dice(self.spans, span_hashes(edited))
-        near_next = dice(self.spans, following.spans)
+        edited = [
+            (int(a.sums[k][keep]) + int(powers(BASES[k], PRIMES[k], keep + 1)[keep]) * int(b.sums[k][given])) % PRIMES[k]
+            for k in range(2)
+        ]
+        near_edited = dice(self.set, distinct(spliced_hashes(self, keep, following, given)))
+        near_next = dice(self.set, following.set)
         front, back = a.extension(0, b, 0), a.extension_back(n, b, b.n)
         digest = hashlib.sha256((a.text[:keep] + b.text[:given]).encode("utf-8", "surrogatepass")).hexdigest()
         return (
-            self.doc_id, n, digest, fingerprint(n, a.whole()), fingerprint(size, [int(s[size]) for s in edited]),
+            self.doc_id, n, digest, fingerprint(n, a.whole()), fingerprint(size, edited),
             near_edited, near_next, front, back,
         )
 
