@@ -42,7 +42,7 @@ def _fraction(*parts: Column) -> Column:
 
 
 def _tree_samples(
-    df: DataFrame, keys: list[str], trees: int, sample_size: int, seed: int
+    df: DataFrame, keys: list[str], trees: int, sample_size: int, seed: int, rows: int | None = None
 ) -> DataFrame:
     """Per tree ``sample_size`` rows without replacement, drawn from all rows.
 
@@ -51,7 +51,7 @@ def _tree_samples(
     rows that some tree takes test the trees behind it. So about twice the samples are
     exploded and shuffled, whatever the number of rows.
     """
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     rate = min(1.0, 2.0 * sample_size / max(1, rows))
 
     def hits(tree: Column) -> Column:
@@ -111,9 +111,10 @@ def fit_nodes(
     trees: int = TREES,
     sample_size: int = TREE_SAMPLE,
     seed: int = SEED,
+    rows: int | None = None,
 ) -> DataFrame:
     """Node table of the forest; ``df`` has ``features array<double>`` and its keys."""
-    samples = _tree_samples(df, keys, trees, sample_size, seed)
+    samples = _tree_samples(df, keys, trees, sample_size, seed, rows)
     return samples.select("tree", "place", "features").groupBy("tree").applyInPandas(
         lambda sample: _grow(sample, seed), NODE_SCHEMA
     )
@@ -231,9 +232,10 @@ def fit_and_score(
     seed: int = SEED,
 ) -> tuple[Forest, DataFrame]:
     """Fit, and score the fit rows once; their raw scores are settled for the range."""
-    nodes = fit_nodes(df, keys, trees, sample_size, seed).toPandas()
+    rows = df.count()
+    nodes = fit_nodes(df, keys, trees, sample_size, seed, rows).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
-    forest = Forest(nodes, min(sample_size, df.limit(sample_size).count()))
+    forest = Forest(nodes, min(sample_size, rows))
     raw = forest.raw_score(df.sparkSession, F.col("features"))
     scored = settle(df.select(*[c for c in df.columns if c != "features"], raw.alias("raw")))
     span = scored.agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
