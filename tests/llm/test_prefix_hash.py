@@ -86,4 +86,4 @@ def test_spliced_spans_equal_those_of_the_text():
         x, y = prefix_hash._Document(1, a), prefix_hash._Document(2, b)
         keep, given = n - n // 2, min(n // 2, m)
         wanted = prefix_hash.span_hashes(prefix_hash.Prefix(a[:keep] + b[:given]).sums)
-        assert (prefix_hash.spliced_hashes(x, keep, y, given) == wanted).all()
+        assert sorted(prefix_hash.spliced_hashes(x, keep, y, given)) == sorted(wanted)
