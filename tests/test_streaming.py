@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from cyclewise.operators.scoring import Detector
 from cyclewise.operators.unit_order import number_rows
 from cyclewise.sources import manifest, stores
 from cyclewise.streaming import jobs, status
-from cyclewise.streaming.processor import as_steps, rolling_statistics, stream_features
+from cyclewise.streaming.processor import EventTimeRing, as_steps, rolling_statistics, stream_features
 
 SCHEMA = "unit_id long, event_id long, ts timestamp, sensor_2 double, sensor_3 double"
 
@@ -311,3 +314,58 @@ def test_drift_per_batch(spark, source, tmp_path):
     decisions = spark.read.parquet(f"{tmp_path}/drift")
     assert decisions.count() == 5 and decisions.filter("NOT is_drifted").count() == 0
     assert not drift.detect_drift(df, df, ["sensor_3"]).first()["is_drifted"]
+
+
+class _State:
+    """A state variable of one key that counts the calls on it."""
+
+    def __init__(self, calls):
+        self.calls, self.value = calls, None
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls.append(name)
+            if name == "exists":
+                return self.value is not None
+            if name == "get":
+                return self.value
+            if name == "appendValue":
+                self.value = [*(self.value or []), given[0]]
+            elif name in ("update", "put"):
+                self.value = given[0]
+            elif name == "clear":
+                self.value = None
+
+        return call
+
+
+def test_units_of_a_bucket_share_calls_and_frames():
+    """State calls and frames do not grow with the units, nor do units mix; over three firings."""
+    rng = np.random.default_rng(3)
+    n, units = 4_000, 500
+    frame = pd.DataFrame({UNIT: rng.integers(0, units, n), "event_us": rng.permutation(n) * 1_000_000, "tie": np.arange(n), "sensor_2": rng.normal(size=n)})
+    frame.loc[::11, "sensor_2"] = np.nan
+    calls, frames = [], []
+    handle = SimpleNamespace(
+        getValueState=lambda *_: _State(calls), getListState=lambda *_: _State(calls),
+        registerTimer=lambda *_: calls.append("register"), deleteTimer=lambda *_: calls.append("delete"),
+    )
+    ring = EventTimeRing(["sensor_2"], [5], 7)
+    ring.init(handle)
+    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    assert not list(ring.handleInputRows((3,), iter([frame[:1500], frame[1500:]]), at(0)))
+    for passed in (1_000_000, 1_500_000, 10_000_000):
+        frames += ring.handleExpiredTimer((3,), at(passed), None)
+    assert len(calls) < 50 and len(frames) < 5
+    found = pd.concat(frames).sort_values("tie", ignore_index=True)
+    frame = frame.sort_values([UNIT, "event_us"])
+    by_unit = frame.groupby(UNIT)["sensor_2"]
+    frame["cycle"] = by_unit.cumcount() + 1
+    frame["mean"] = by_unit.transform(lambda v: v.rolling(5, min_periods=1).mean()).fillna(0.0)
+    windows = {t: w for _, g in frame.fillna(0.0).groupby(UNIT) for t, w in zip(g["tie"][6:], np.lib.stride_tricks.sliding_window_view(g["sensor_2"], 7) if len(g) > 6 else [])}
+    frame = frame.sort_values("tie", ignore_index=True)
+    assert found[UNIT].tolist() == frame[UNIT].tolist() and found[CYCLE].tolist() == frame["cycle"].tolist()
+    assert np.allclose(found["sensor_2_rolling_mean_5"], frame["mean"])
+    full = found[found["window"].notna()]
+    assert set(full["tie"]) == set(windows)
+    assert all(np.array_equal(w, windows[t]) for t, w in zip(full["tie"], full["window"]))
