@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.constants import SEED, TREE_SAMPLE, TREES
 from cyclewise.functions.numeric import ratio
-from cyclewise.session import settle
+from cyclewise.session import stored
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, path double, depth int, rows int"
@@ -122,18 +122,18 @@ def fit_nodes(
 
 @dataclass
 class NodeArrays:
-    """Nodes of all trees in one set of arrays; children are places in it.
+    """All trees as full binary trees of one depth, level by level.
 
-    A leaf is its own child on both sides, so every row takes the same number of steps in
-    every tree, and a step of all trees is one gather for a block of rows.
+    The children of place ``i`` of a level are ``2i`` and ``2i + 1`` of the next one, so they
+    need no lookup. Below a leaf all goes left, and the last level holds its path. Cuts are
+    ranks among the cuts of their feature; a value is ranked once per row, not per node.
     """
 
-    roots: np.ndarray
-    feature: np.ndarray
-    split: np.ndarray
-    children: np.ndarray
+    trees: int
+    cuts: list[np.ndarray]
+    feature: list[np.ndarray]
+    rank: list[np.ndarray]
     path: np.ndarray
-    depth: int
 
     #: Rows of a block times trees stay within this many places.
     BLOCK = 400_000
@@ -142,35 +142,44 @@ class NodeArrays:
     def of(cls, nodes: pd.DataFrame) -> NodeArrays:
         nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         sizes = nodes.groupby("tree", sort=True).size().to_numpy()
-        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int32)
+        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         offset = np.repeat(roots, sizes)
-        own = np.arange(len(nodes), dtype=np.int32)
-        leaf = nodes["feature"].to_numpy() < 0
-        sides = [np.where(leaf, own, nodes[c].to_numpy() + offset) for c in ("left", "right")]
-        children = np.column_stack(sides).astype(np.int32)
-        level, depth = children[roots].ravel(), 0
-        inner = ~leaf[roots]
-        while inner.any():
-            depth += 1
-            inner = ~leaf[level]
-            level = children[level[inner]].ravel()
-        feature = np.where(leaf, 0, nodes["feature"]).astype(np.int32)
-        return cls(roots, feature, nodes["split"].to_numpy(), children.ravel(), nodes["path"].to_numpy(), depth)
+        own = np.arange(len(nodes))
+        feature, split = nodes["feature"].to_numpy(), nodes["split"].to_numpy()
+        leaf = feature < 0
+        left, right = (np.where(leaf, own, nodes[c].to_numpy() + offset) for c in ("left", "right"))
+        cuts = [np.unique(split[feature == k]) for k in range(max(0, int(feature.max())) + 1)]
+        rank = np.full(len(nodes), np.iinfo(np.int32).max, np.int32)
+        for k, values in enumerate(cuts):
+            rank[feature == k] = np.searchsorted(values, split[feature == k])
+        level, levels = roots, []
+        while not leaf[level].all():
+            levels.append(level)
+            level = np.column_stack([left[level], right[level]]).ravel()
+        places = [np.where(leaf, 0, feature)[at].astype(np.intp) for at in levels]
+        return cls(len(roots), cuts, places, [rank[at] for at in levels], nodes["path"].to_numpy()[level])
 
     def mean_path(self, x: np.ndarray) -> np.ndarray:
         """Mean path length of every row over the trees."""
-        trees = len(self.roots)
-        block = max(1, self.BLOCK // trees)
+        block = max(1, self.BLOCK // self.trees)
         out = np.empty(len(x))
         for lo in range(0, len(x), block):
-            part = np.ascontiguousarray(x[lo : lo + block])
-            width = part.shape[1]
-            base = (np.arange(len(part), dtype=np.int32) * width)[:, None]
-            flat = part.ravel()
-            at = np.broadcast_to(self.roots, (len(part), trees)).copy()
-            for _ in range(self.depth):
-                above = flat[base + self.feature[at]] > self.split[at]
-                at = self.children[2 * at + above]
+            part = x[lo : lo + block]
+            # missing values go left
+            ranks = [np.where(np.isnan(v), 0, np.searchsorted(c, v)) for v, c in zip(part.T, self.cuts)]
+            flat = np.column_stack(ranks).astype(np.int32).ravel()
+            base = (np.arange(len(part)) * len(self.cuts))[:, None]
+            at = np.broadcast_to(np.arange(self.trees), (len(part), self.trees)).copy()
+            place = np.empty_like(at)
+            value, cut = np.empty(at.shape, np.int32), np.empty(at.shape, np.int32)
+            for feature, rank in zip(self.feature, self.rank):
+                # all places are valid; "clip" only spares numpy a copy
+                np.take(feature, at, out=place, mode="clip")
+                place += base
+                np.take(flat, place, out=value, mode="clip")
+                np.take(rank, at, out=cut, mode="clip")
+                at += at
+                at += value > cut
             out[lo : lo + block] = self.path[at].mean(axis=1)
         return out
 
@@ -231,13 +240,13 @@ def fit_and_score(
     sample_size: int = TREE_SAMPLE,
     seed: int = SEED,
 ) -> tuple[Forest, DataFrame]:
-    """Fit, and score the fit rows once; their raw scores are settled for the range."""
+    """Fit, and score the fit rows once; their raw scores are stored for the range."""
     rows = df.count()
     nodes = fit_nodes(df, keys, trees, sample_size, seed, rows).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     forest = Forest(nodes, min(sample_size, rows))
     raw = forest.raw_score(df.sparkSession, F.col("features"))
-    scored = settle(df.select(*[c for c in df.columns if c != "features"], raw.alias("raw")))
+    scored = stored(df.select(*[c for c in df.columns if c != "features"], raw.alias("raw")))
     span = scored.agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
     forest.low, forest.high = span["low"], span["high"]
     forest.fit_scores = scored.withColumn("score", forest.in_range(F.col("raw"))).drop("raw")

@@ -26,7 +26,7 @@ from cyclewise.plans.registry import (
 from cyclewise.plans.feature_queries import ROLLED_SQL, ROLLED_NAMES, round_list
 from cyclewise.plans.metric_queries import SWEEP_SQL
 from cyclewise.plans.panel_queries import SPLIT_SQL
-from cyclewise.session import settle, shared_dir
+from cyclewise.session import shared_dir, stored
 from cyclewise.sources.stores import read_events, write_event_batch
 from cyclewise.sources.tables import read_table
 from cyclewise.streaming import jobs, status
@@ -98,7 +98,7 @@ def _summaries(spark, sf_dir):
 
 @query()
 def iforest_scores(spark, sf_dir):
-    vectors = settle(_summaries(spark, sf_dir))
+    vectors = stored(_summaries(spark, sf_dir))
     return rounded_all(fit_and_score(vectors, [UNIT, CYCLE])[1])
 
 

@@ -291,3 +291,17 @@ def test_filters_on_results_do_not_reach_bad_windows(spark, prepared, name):
     kept = good.filter("anomaly_score > -100 AND confidence >= 0").collect()
     assert [r["sensor_id"] for r in kept] == ["a"]
     assert bad.filter("sensor_id <> 'x'").count() == 3
+
+
+def test_leaves_at_all_depths_and_missing_values():
+    """Trees of unlike depth: the walk needs no node table of children, and a missing value goes left."""
+    names = ["tree", "node", "feature", "split", "left", "right", "path", "depth", "rows"]
+    nodes = pd.DataFrame(
+        [(0, 0, 1, 0.5, 1, 2, 0.0, 0, 4), (0, 1, -1, 0.0, -1, -1, 1.0, 1, 1), (0, 2, 0, 0.5, 3, 4, 0.0, 1, 3),
+         (0, 3, -1, 0.0, -1, -1, 2.5, 2, 2), (0, 4, -1, 0.0, -1, -1, 2.0, 2, 1), (3, 0, -1, 0.0, -1, -1, 0.25, 0, 1)],
+        columns=names,
+    )
+    stacked = forests.NodeArrays.of(nodes)
+    assert [len(level) for level in stacked.feature] == [2, 4] and len(stacked.path) == 8
+    x = np.array([[9.0, 0.5], [0.5, 0.6], [0.6, np.inf], [np.nan, 1.0], [0.0, np.nan], [np.inf, -np.inf]])
+    assert stacked.mean_path(x).tolist() == [(p + 0.25) / 2 for p in (1.0, 2.5, 2.0, 2.5, 1.0, 1.0)]
