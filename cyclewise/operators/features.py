@@ -6,8 +6,13 @@ sort and therefore one shuffle of the rows, see ``unit_order.open_chunks``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclewise.constants import (
     CYCLE,
@@ -21,6 +26,7 @@ from cyclewise.constants import (
 from cyclewise.functions.arrays import keep_where
 from cyclewise.operators.scalers import Scaler, feature_columns, transform_features
 from cyclewise.operators.unit_order import (
+    HALO,
     SPLIT,
     Layout,
     chunk_window,
@@ -114,6 +120,50 @@ def sliding_windows(
     return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], "window")
 
 
+def _summaries(
+    batches: Iterator[pa.RecordBatch], columns: list[str], kept: list[str], size: int
+) -> Iterator[pa.RecordBatch]:
+    """Statistics over the last ``size`` rows of the ``_full`` rows, as ``avg`` and ``stddev_pop`` have them.
+
+    Rows come chunk by chunk, numbered by ``_row`` from 1. A step adds one row of every frame,
+    in frame order, so the sums are those of a window function to the last bit.
+    """
+    series = np.zeros((size - 1, len(columns)))
+    valid = np.ones(series.shape, bool)
+    last = 0
+    for batch in batches:
+        rows = batch.num_rows
+        if not rows:
+            continue
+        row = batch.column("_row").to_numpy()
+        before = np.concatenate([[last], row[:-1]])
+        if not ((row == 1) | (row == before + 1)).all():
+            raise RuntimeError("rows of a chunk do not follow each other")
+        last = row[-1]
+        values = [batch.column(c) for c in columns]
+        new = np.column_stack([v.to_numpy(zero_copy_only=False) for v in values])
+        known = np.column_stack([v.is_valid().to_numpy(zero_copy_only=False) for v in values])
+        series, valid = np.vstack([series, np.where(known, new, 0.0)]), np.vstack([valid, known])
+        n, total, mean, m2 = (np.zeros((rows, len(columns))) for _ in range(4))
+        with np.errstate(invalid="ignore", over="ignore"):
+            for step in range(size):
+                x, k = series[step : step + rows], valid[step : step + rows]
+                n += k
+                total += x
+                off = np.where(k, x - mean, 0.0)
+                part = off / np.maximum(n, 1)
+                mean += part
+                m2 += off * (off - part)
+            count = np.maximum(n, 1)
+            found = np.hstack([total / count, np.sqrt(m2 / count)])
+        series, valid = series[rows:], valid[rows:]
+        empty = np.hstack([n == 0] * 2)
+        statistics = [pa.array(f, mask=e, from_pandas=False) for f, e in zip(found.T, empty.T)]
+        names = [f"{c}_{s}" for s in ("mean", "std") for c in columns]
+        out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *statistics], [*kept, *names])
+        yield out.filter(batch.column("_full"))
+
+
 def window_summary(
     df: DataFrame,
     columns: list[str] | None = None,
@@ -123,21 +173,32 @@ def window_summary(
 ) -> DataFrame:
     """Mean and population deviation per feature of every full window.
 
-    Works on rows; the window arrays, ``size`` times the data, are never built.
+    Works on rows; the window arrays, ``size`` times the data, are never built. A window
+    function numbers the rows of a chunk, which brings them together in order; the frames
+    are summed for a batch of rows at once, see ``_summaries``.
     """
     columns = columns or feature_columns(df)
     label = ["is_anomaly"] if "is_anomaly" in df.columns else []
     frame, place = _with_position(df, position, layout)
     chunked = open_chunks(frame, size - 1, place, layout)
-    over = chunk_window(place, layout).rowsBetween(1 - size, 0)
-    summaries = [F.avg(c).over(over).alias(f"{c}_mean") for c in columns] + [
-        F.stddev_pop(c).over(over).alias(f"{c}_std") for c in columns
-    ]
-    kept = [UNIT, CYCLE, place] if place != CYCLE else [UNIT, CYCLE]
-    built = chunked.select(*kept, *label, "_chunk", "_halo", *summaries)
-    full = close_chunks(built).filter(F.col(place) >= size)
-    names = [f"{c}_mean" for c in columns] + [f"{c}_std" for c in columns]
-    return full.select(UNIT, CYCLE, *[F.col(c).alias("label") for c in label], *names)
+    kept = [UNIT, CYCLE, *label]
+    numbered = chunked.select(
+        *kept,
+        *[F.col(c).cast("double").alias(f"_value_{i}") for i, c in enumerate(columns)],
+        F.row_number().over(chunk_window(place, layout)).alias("_row"),
+        (~F.col(HALO) & (F.col(place) >= size)).alias("_full"),
+    )
+    values = [f"_value_{i}" for i in range(len(columns))]
+    names = [f"{v}_{s}" for s in ("mean", "std") for v in values]
+    fields = [numbered.schema[c] for c in kept] + [T.StructField(c, T.DoubleType()) for c in names]
+    built = numbered.mapInArrow(lambda batches: _summaries(batches, values, kept, size), T.StructType(fields))
+    wanted = [f"{c}_{s}" for s in ("mean", "std") for c in columns]
+    return built.select(
+        UNIT,
+        CYCLE,
+        *[F.col(c).alias("label") for c in label],
+        *[F.col(c).alias(w) for c, w in zip(names, wanted)],
+    )
 
 
 def engineer(

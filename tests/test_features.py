@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cyclewise.constants import LOW_VARIANCE_SENSORS
+from cyclewise.constants import CYCLE, LOW_VARIANCE_SENSORS
 from cyclewise.functions.arrays import (
     forecast_input,
     forecast_target,
@@ -14,6 +14,7 @@ from cyclewise.functions.arrays import (
     summary_vector,
 )
 from cyclewise.operators import features, scalers
+from cyclewise.operators.unit_order import Layout
 
 
 def column(df, name):
@@ -233,3 +234,29 @@ def test_patches(spark):
 def test_mean_squared_error(spark):
     df = spark.sql("select array(array(1D, 2D), array(3D, 4D)) x, array(array(1D, 0D), array(0D, 4D)) y")
     assert df.select(mean_squared_error(F.col("x"), F.col("y"))).first()[0] == pytest.approx(13 / 4)
+
+
+def test_window_summary_equals_the_window_functions_over_batches(spark):
+    """The same bits as avg and stddev_pop, over missing and odd values, small batches and chunks."""
+    from pyspark.sql import Window
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for unit, n in ((1, 90), (2, 3), (3, 41), (4, 7)):
+        for cycle in range(1, n + 1):
+            odd = None if (unit, cycle // 9) == (3, 1) or cycle % 13 == 0 else float("nan") if cycle == 37 else 0.1 if unit == 4 else float(rng.normal(1e3, 5))
+            rows.append((unit, cycle, odd, float(rng.normal()), cycle % 2))
+    df = spark.createDataFrame(rows, "unit_id long, time_cycles long, sensor_2 double, sensor_3 double, is_anomaly int")
+    over = Window.partitionBy("unit_id").orderBy("time_cycles").rowsBetween(-6, 0)
+    names = [(f, f"{c}_{s}", c) for s, f in (("mean", F.avg), ("std", F.stddev_pop)) for c in ("sensor_2", "sensor_3")]
+    wanted = df.select("unit_id", "time_cycles", F.col("is_anomaly").alias("label"), *[f(c).over(over).alias(n) for f, n, c in names])
+    wanted = wanted.filter("time_cycles >= 7").orderBy("unit_id", "time_cycles").collect()
+    known = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for layout in (Layout(1_000, 90), Layout(20, 90)):
+            found = features.window_summary(df, ["sensor_2", "sensor_3"], 7, CYCLE, layout)
+            assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+            assert str(found.orderBy("unit_id", "time_cycles").collect()) == str(wanted)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", known)
